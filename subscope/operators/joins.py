@@ -60,16 +60,21 @@ def enrich(
     ``take`` names the dim columns to add (``{new: old}`` to rename), ``flag`` adds a
     has-a-match column. With ``spread`` (a well-distributed fact column) rows with a NULL
     key hash by that column instead of all to one partition.
+
+    A lookup that adds only the flag asks for existence, so it runs against the distinct
+    keys; Catalyst then also drops the join from plans that never use the flag.
     """
     fk, pk = on
     right = dim.select(
         F.col(pk).alias(_KEY),
         *[_c(c).alias(name) for name, c in _taking(take).items()],
     )
+    if not take:
+        right = right.distinct()
     matched = F.col(fk) == F.col(_KEY)
     if spread is not None:
         # The first equality decides the match; this one only varies the hash of NULLs.
-        matched &= F.coalesce(F.col(fk), F.concat(F.lit("\u0000"), F.col(spread))) == F.col(_KEY)
+        matched &= F.coalesce(F.col(fk), F.concat(F.lit("~"), F.col(spread))) == F.col(_KEY)
     out = fact.join(right, matched, "left")
     if flag is not None:
         out = out.withColumn(flag, F.col(_KEY).isNotNull())
@@ -263,7 +268,7 @@ def match_rate(left: DataFrame, right: DataFrame, on: tuple[str, str]) -> DataFr
     """Share of left references that exist on the right."""
     hit = enrich(
         left.where(F.col(on[0]).isNotNull()).select(on[0]),
-        right.select(on[1]).distinct(), on, flag="_hit",
+        right, on, flag="_hit",
     )
     return hit.agg(
         F.count(F.lit(1)).alias("reference_count"),

@@ -128,10 +128,10 @@ def int_orders(
 ) -> DataFrame:
     """Order with program, customer and the time of its first collected payment.
 
-    ``customers`` may be bare accounts, then only the match flag is added; ``payments``
-    may be None, then no payment time is.
+    ``customers`` may be bare keys, then only the match flag is added; ``payments`` may be
+    None, then no payment time is.
     """
-    named = "corporate_company_name" in customers.columns
+    named = "customer_name" in customers.columns
     out = enrich(
         order_context(orders, programs), customers, ("customer_id", "customer_id"),
         {
@@ -150,28 +150,39 @@ def int_orders(
 
 def int_order_items(
     items: DataFrame,
-    orders: DataFrame,
+    orders: DataFrame | None,
     device_skus: DataFrame,
     cp_skus: DataFrame,
     masters: DataFrame,
 ) -> DataFrame:
-    """Order item with its catalog entry and its order's program and partner."""
+    """Order item with its catalog entry and its order's program and partner.
+
+    ``orders`` None leaves out the order.
+    """
     resolved = resolve_sku(_without(items), device_skus, cp_skus, masters, spread="order_item_id")
+    return resolved if orders is None else item_context(resolved, orders)
+
+
+def item_context(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order item with what its order knows."""
     context = [
         "program_id", "channel_partner_id", "partner_name", "program_name", "order_status",
         "is_gmv_eligible", "has_valid_customer",
     ]
     return enrich(
-        resolved, orders, ("order_id", "order_id"),
+        items, orders, ("order_id", "order_id"),
         [c for c in context if c in orders.columns],
         flag="has_valid_order", spread="order_item_id",
     )
 
 
 def int_subscriptions(
-    subscriptions: DataFrame, pricing: DataFrame, durations: DataFrame, orders: DataFrame
+    subscriptions: DataFrame, pricing: DataFrame, durations: DataFrame, orders: DataFrame | None
 ) -> DataFrame:
-    """Subscription with price, term and order; decides what counts for recurring revenue."""
+    """Subscription with price, term and order; decides what counts for recurring revenue.
+
+    ``orders`` None leaves out the order.
+    """
     # The term is looked up on the price list first, which is much shorter.
     priced = enrich(
         pricing.select(
@@ -186,6 +197,19 @@ def int_subscriptions(
         ["monthly_subscription_amount_sar", "subscription_duration_id", "subscription_term_months"],
         flag="has_valid_subscription_pricing", spread="subscription_id",
     )
+    out = out.withColumns({
+        "is_upgraded_or_kifed": F.col("is_upgraded") | F.col("is_kifed"),
+        "is_mrr_eligible": (
+            F.col("is_active_subscription")
+            & F.col("has_valid_subscription_pricing")
+            & F.col("monthly_subscription_amount_sar").isNotNull()
+        ),
+    })
+    return out if orders is None else subscription_context(out, orders)
+
+
+def subscription_context(subscriptions: DataFrame, orders: DataFrame) -> DataFrame:
+    """Subscription with what its order knows."""
     take = {
         "program_id": "program_id",
         "program_name": "program_name",
@@ -194,23 +218,14 @@ def int_subscriptions(
         "is_fnf_program": "is_fnf_program",
     }
     if "has_valid_customer" in orders.columns:
-        take["_known_customer"] = "has_valid_customer"
+        take["has_valid_customer"] = "has_valid_customer"
     out = enrich(
-        out, orders, ("order_id", "order_id"), take,
+        subscriptions, orders, ("order_id", "order_id"), take,
         flag="has_valid_order", spread="subscription_id",
     )
-    out = out.withColumns({
-        "is_upgraded_or_kifed": F.col("is_upgraded") | F.col("is_kifed"),
-        "is_mrr_eligible": (
-            F.col("is_active_subscription")
-            & F.col("has_valid_subscription_pricing")
-            & F.col("monthly_subscription_amount_sar").isNotNull()
-        ),
-    })
-    if "_known_customer" in take:
-        out = out.withColumn(
-            "has_valid_customer", F.col("customer_id").isNotNull() & F.col("_known_customer")
-        ).drop("_known_customer")
+    if "has_valid_customer" in take:
+        known = F.col("customer_id").isNotNull() & F.col("has_valid_customer")
+        out = out.withColumn("has_valid_customer", known)
     return out
 
 
@@ -218,13 +233,15 @@ def int_devices(devices: DataFrame, items: DataFrame, subscriptions: DataFrame)
     """Device with the item it was sold as and the subscription on that item.
 
     Items and subscriptions meet first: both and the devices are then hashed once on the
-    item key, and the second join reuses that partitioning.
+    item key, and the second join reuses that partitioning. The catalog key is added if
+    the items carry it.
     """
+    wanted = (
+        "order_item_id", "order_id", "program_id", "channel_partner_id", "partner_name",
+        "device_sku_key", "customer_id",
+    )
     sold = enrich(
-        items.select(
-            "order_item_id", "order_id", "program_id", "channel_partner_id", "partner_name",
-            "device_sku_key", "customer_id",
-        ),
+        items.select(*[c for c in wanted if c in items.columns]),
         subscriptions, ("order_item_id", "order_item_id"),
         ["subscription_id", "subscription_status", "is_active_subscription"],
     )
@@ -310,9 +327,12 @@ def int_payments_crm(
     )
     if customers is None:
         return out
+    named = "customer_name" in customers.columns
     return enrich(
         out, customers, ("customer_id", "customer_id"),
-        {"customer_name": "customer_name", "customer_is_fully_verified": "is_fully_verified"},
+        {
+            "customer_name": "customer_name", "customer_is_fully_verified": "is_fully_verified",
+        } if named else (),
         flag="has_valid_customer", spread="payment_id",
     )
 
@@ -374,11 +394,11 @@ def int_payment_attempts(history: DataFrame, unified: DataFrame) -> DataFrame:
 
 
 def int_invoices(invoices: DataFrame, customers: DataFrame) -> DataFrame:
-    """Invoice with its customer; bare accounts give only the match flag and names."""
-    company = ["corporate_company_name"] if "corporate_company_name" in customers.columns else []
+    """Invoice with its customer; of bare keys only the match flag is added."""
+    take = ["customer_name", "corporate_company_id", "corporate_company_name", "zoho_customer_id"]
     return enrich(
         _without(invoices), customers, ("customer_id", "customer_id"),
-        ["customer_name", "corporate_company_id", *company, "zoho_customer_id"],
+        [c for c in take if c in customers.columns],
         flag="has_valid_customer", spread="invoice_id",
     )
 
@@ -386,13 +406,15 @@ def int_invoices(invoices: DataFrame, customers: DataFrame) -> DataFrame:
 def int_invoice_line_items(
     lines: DataFrame, subscriptions: DataFrame, invoices: DataFrame
 ) -> DataFrame:
+    """Invoice line with its subscription and invoice; bare subscription keys give a flag."""
+    take = [
+        "subscription_status", "program_id", "channel_partner_id", "partner_name",
+        "monthly_subscription_amount_sar",
+    ]
     out = enrich(
         _without(lines).withColumnRenamed("parent_invoice_line_item_id", "invoice_id"),
         subscriptions, ("subscription_id", "subscription_id"),
-        [
-            "subscription_status", "program_id", "channel_partner_id", "partner_name",
-            "monthly_subscription_amount_sar",
-        ],
+        [c for c in take if c in subscriptions.columns],
         flag="has_valid_subscription", spread="invoice_line_item_id",
     )
     return enrich(

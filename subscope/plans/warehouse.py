@@ -69,23 +69,26 @@ CONTEXT: dict[str, Callable[[Warehouse], DataFrame]] = {
         w, c.program_directory(w["stg_programs"], w["int_channel_partners"]), "stg_programs"
     ),
     "ctx_device_skus": lambda w: _small(w, w["int_device_skus"], "stg_program_skus"),
+    "ctx_customer_keys": lambda w: w["stg_accounts"].select("customer_id"),
     "ctx_orders": lambda w: c.order_context(w["stg_orders"], w["ctx_programs"]),
     "ctx_orders_customers": lambda w: c.int_orders(
-        w["stg_orders"], w["ctx_programs"], w["stg_accounts"], None
+        w["stg_orders"], w["ctx_programs"], w["ctx_customer_keys"], None
     ),
-    "ctx_order_items": lambda w: c.int_order_items(
-        w["stg_order_items"], w["ctx_orders"], w["ctx_device_skus"], w["stg_cp_skus"],
-        w["stg_master_skus"],
+    "ctx_item_orders": lambda w: c.item_context(w["stg_order_items"], w["ctx_orders"]),
+    "ctx_item_skus": lambda w: c.int_order_items(
+        w["stg_order_items"], None, w["ctx_device_skus"], w["stg_cp_skus"], w["stg_master_skus"]
     ),
-    "ctx_subscriptions": lambda w: c.int_subscriptions(
+    "ctx_order_items": lambda w: c.item_context(w["ctx_item_skus"], w["ctx_orders"]),
+    "ctx_prices": lambda w: c.int_subscriptions(
         w["stg_subscriptions"], w["stg_subscription_pricing"],
-        w["stg_subscription_durations"], w["ctx_orders"],
+        w["stg_subscription_durations"], None,
     ),
+    "ctx_subscriptions": lambda w: c.subscription_context(w["ctx_prices"], w["ctx_orders"]),
     "ctx_payments": lambda w: c.int_payments_unified(
         c.int_payments_crm(w["stg_payments"], w["ctx_orders"], None), w["int_payments_psp"]
     ),
     "ctx_devices": lambda w: c.int_devices(
-        w["stg_devices"], w["ctx_order_items"], w["ctx_subscriptions"]
+        w["stg_devices"], w["ctx_item_orders"], w["stg_subscriptions"]
     ),
 }
 
@@ -99,16 +102,14 @@ CONFORMED: dict[str, Callable[[Warehouse], DataFrame]] = {
     "int_orders": lambda w: c.int_orders(
         w["stg_orders"], w["ctx_programs"], w["int_customers"], w["stg_payments"]
     ),
-    "int_order_items": lambda w: c.int_order_items(
-        w["stg_order_items"], w["ctx_orders_customers"], w["ctx_device_skus"],
-        w["stg_cp_skus"], w["stg_master_skus"],
+    "int_order_items": lambda w: c.item_context(w["ctx_item_skus"], w["ctx_orders_customers"]),
+    "int_subscriptions": lambda w: c.subscription_context(
+        w["ctx_prices"], w["ctx_orders_customers"]
     ),
-    "int_subscriptions": lambda w: c.int_subscriptions(
-        w["stg_subscriptions"], w["stg_subscription_pricing"],
-        w["stg_subscription_durations"], w["ctx_orders_customers"],
+    "int_devices": lambda w: c.int_devices(
+        w["stg_devices"], w["ctx_order_items"], w["stg_subscriptions"]
     ),
-    "int_devices": lambda w: w["ctx_devices"],
-    "int_customer_device_counts": lambda w: c.int_customer_device_counts(w["int_devices"]),
+    "int_customer_device_counts": lambda w: c.int_customer_device_counts(w["ctx_devices"]),
     "int_subscription_snapshots_monthly": lambda w: c.int_subscription_snapshots_monthly(
         w["ctx_subscriptions"], w.as_of
     ),
@@ -147,7 +148,7 @@ CONFORMED: dict[str, Callable[[Warehouse], DataFrame]] = {
 
 MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fct_orders": lambda w: m.fct_orders(c.int_orders(
-        w["stg_orders"], w["ctx_programs"], w["stg_accounts"], w["stg_payments"]
+        w["stg_orders"], w["ctx_programs"], w["ctx_customer_keys"], w["stg_payments"]
     )),
     "fct_order_items": lambda w: m.fct_order_items(w["ctx_order_items"]),
     "dim_customers": lambda w: m.dim_customers(
@@ -160,19 +161,22 @@ MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_corporate_companies": lambda w: m.dim_corporate_companies(
         w["stg_corporate_companies"], w["stg_accounts"]
     ),
-    "dim_device_skus": lambda w: m.dim_device_skus(w["stg_master_skus"], w["ctx_order_items"]),
+    "dim_device_skus": lambda w: m.dim_device_skus(w["stg_master_skus"], w["ctx_item_skus"]),
     "dim_dates": lambda w: m.dim_dates(w.spine()),
     "fct_subscriptions": lambda w: m.fct_subscriptions(w["int_subscriptions"]),
     "fct_subscription_monthly_snapshots": lambda w: m.fct_subscription_monthly_snapshots(
         w["int_subscription_snapshots_monthly"]
     ),
     "dim_subscription_pricing": lambda w: m.dim_subscription_pricing(
-        w["stg_subscription_pricing"], w["ctx_subscriptions"]
+        w["stg_subscription_pricing"], w["ctx_prices"]
     ),
     "dim_subscription_durations": lambda w: m.dim_subscription_durations(
-        w["stg_subscription_durations"], w["ctx_subscriptions"]
+        w["stg_subscription_durations"], w["ctx_prices"]
     ),
-    "fct_payments": lambda w: m.fct_payments(w["int_payments_unified"]),
+    "fct_payments": lambda w: m.fct_payments(c.int_payments_unified(
+        c.int_payments_crm(w["stg_payments"], w["ctx_orders"], w["ctx_customer_keys"]),
+        w["int_payments_psp"],
+    )),
     "fct_payment_attempts": lambda w: m.fct_payment_attempts(w["int_payment_attempts"]),
     "fct_psp_transactions": lambda w: m.fct_psp_transactions(
         w["stg_psp_transactions"], w["stg_psp_payments"]
@@ -181,9 +185,12 @@ MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w["stg_payment_methods"], w["stg_psp_payment_methods"]
     ),
     "fct_invoices": lambda w: m.fct_invoices(
-        c.int_invoices(w["stg_invoices"], w["stg_accounts"])
+        c.int_invoices(w["stg_invoices"], w["ctx_customer_keys"])
     ),
-    "fct_invoice_line_items": lambda w: m.fct_invoice_line_items(w["int_invoice_line_items"]),
+    "fct_invoice_line_items": lambda w: m.fct_invoice_line_items(c.int_invoice_line_items(
+        w["stg_invoice_line_items"], w["stg_subscriptions"].select("subscription_id"),
+        w["stg_invoices"],
+    )),
     "fct_credit_notes": lambda w: m.fct_credit_notes(
         c.int_credit_notes(w["stg_credit_notes"], w["stg_invoices"])
     ),
@@ -191,9 +198,9 @@ MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fct_finance_reconciliation_monthly": lambda w: m.fct_finance_reconciliation_monthly(
         w["int_finance_reconciliation"]
     ),
-    "fct_devices": lambda w: m.fct_devices(w["int_devices"]),
+    "fct_devices": lambda w: m.fct_devices(w["ctx_devices"]),
     "fct_device_journey_events": lambda w: m.fct_device_journey_events(
-        w["stg_devices_journey"], w["int_devices"]
+        w["stg_devices_journey"], w["ctx_devices"]
     ),
     "fct_partner_api_events": lambda w: m.fct_partner_api_events(w["int_partner_api_events"]),
     "bridge_cp_skus": lambda w: m.bridge_cp_skus(
@@ -202,7 +209,7 @@ MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 # Read by several marts, and more than a narrow step away from the raw tables.
-SHARED = ("ctx_order_items", "ctx_subscriptions", "ctx_devices", "int_partner_api_events")
+SHARED = ("ctx_item_skus", "ctx_prices", "ctx_devices", "int_partner_api_events")
 PARTITIONED = {"fct_subscription_monthly_snapshots": ("snapshot_quarter",)}
 AS_OF_STAGED = {"stg_payment_methods"}
 
@@ -237,6 +244,12 @@ class Warehouse:
         ready = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in MARTS}
         return cls(spark, lambda t: read_raw(spark, root, t), as_of, ready=ready)
 
+    def given(self, ready: Mapping[str, DataFrame]) -> Warehouse:
+        """The same warehouse, with some models taken as they are."""
+        return Warehouse(
+            self.spark, self.raw, self.as_of, self.calendar_start, self.parent_types, ready
+        )
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._models:
             self._models[name] = self._plan(name)
@@ -279,17 +292,9 @@ def build(
     """Full refresh of the marts below ``out``; returns the path of each."""
     spark = warehouse.spark
     folder = shared_folder(spark, f"{out.rstrip('/')}/_shared")
+    ready: dict[str, DataFrame] = {}
     for name in SHARED:
-        path = write_mart(warehouse[name], folder, name)
-        warehouse = Warehouse(
-            spark, warehouse.raw, warehouse.as_of, warehouse.calendar_start,
-            warehouse.parent_types,
-            ready={
-                **{n: df for n, df in warehouse._models.items() if n in SHARED[:SHARED.index(name)]},
-                name: spark.read.parquet(path),
-            },
-        )
-    return {
-        name: write_mart(warehouse[name], out, name, PARTITIONED.get(name, ()))
-        for name in marts
-    }
+        path = write_mart(warehouse.given(ready)[name], folder, name)
+        ready[name] = spark.read.parquet(path)
+    complete = warehouse.given(ready)
+    return {n: write_mart(complete[n], out, n, PARTITIONED.get(n, ())) for n in marts}
