@@ -24,12 +24,14 @@ _KEY = "_lookup_key"
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, without running it; None where it is hidden."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except AttributeError:
+    """Catalyst's size estimate of a plan, without running it.
+
+    None on a Spark Connect session, whose DataFrames do not expose a plan.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def bounded_dim(dim: DataFrame, grown_from: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
