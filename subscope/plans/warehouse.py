@@ -287,11 +287,16 @@ def shared_folder(spark: SparkSession, fallback: str) -> str:
 
 
 def build(
-    warehouse: Warehouse, out: str, marts: Iterable[str] = tuple(MARTS)
+    warehouse: Warehouse, out: str, marts: Iterable[str] = tuple(MARTS),
+    shared: str | None = None,
 ) -> dict[str, str]:
-    """Full refresh of the marts below ``out``; returns the path of each."""
+    """Full refresh of the marts below ``out``; returns the path of each.
+
+    ``shared`` is where the tables used by several marts go for the run; by default the
+    session's checkpoint folder. They can be removed once the marts are written.
+    """
     spark = warehouse.spark
-    folder = shared_folder(spark, f"{out.rstrip('/')}/_shared")
+    folder = shared or shared_folder(spark, f"{out.rstrip('/')}/_shared")
     ready: dict[str, DataFrame] = {}
     for name in SHARED:
         path = write_mart(warehouse.given(ready)[name], folder, name)
