@@ -49,6 +49,10 @@ def _taking(take: Sequence[str] | Mapping[str, str | Column]) -> dict[str, str |
     return dict(take) if isinstance(take, Mapping) else {c: c for c in take}
 
 
+def _spread_nulls(key: str, spread: str) -> Column:
+    return F.coalesce(F.col(key), F.concat(F.lit("~"), F.col(spread).cast("string")))
+
+
 def enrich(
     fact: DataFrame,
     dim: DataFrame,
@@ -76,7 +80,7 @@ def enrich(
     matched = F.col(fk) == F.col(_KEY)
     if spread is not None:
         # The first equality decides the match; this one only varies the hash of NULLs.
-        matched &= F.coalesce(F.col(fk), F.concat(F.lit("~"), F.col(spread))) == F.col(_KEY)
+        matched &= _spread_nulls(fk, spread) == F.col(_KEY)
     out = fact.join(right, matched, "left")
     if flag is not None:
         out = out.withColumn(flag, F.col(_KEY).isNotNull())
@@ -101,6 +105,7 @@ def polymorphic_lookup(
     kinds: Mapping[str, tuple[DataFrame, str, str]],
     name: str,
     self_kind: str | None = None,
+    spread: str | None = None,
 ) -> DataFrame:
     """Resolve an id whose target table depends on a type column.
 
@@ -117,7 +122,10 @@ def polymorphic_lookup(
             F.col(value).alias("_value"),
         )
         lookup = part if lookup is None else lookup.unionByName(part)
-    out = df.join(lookup, (kind == F.col("_kind")) & (F.col(id_col) == F.col("_id")), "left")
+    matched = (kind == F.col("_kind")) & (F.col(id_col) == F.col("_id"))
+    if spread is not None:
+        matched &= _spread_nulls(id_col, spread) == F.col("_id")
+    out = df.join(lookup, matched, "left")
     value = F.col("_value")
     if self_kind is not None:
         value = F.coalesce(F.when(kind == self_kind, F.col(id_col)), value)

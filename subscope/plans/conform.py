@@ -69,7 +69,7 @@ def int_device_skus(program_skus: DataFrame, masters: DataFrame) -> DataFrame:
             "memory": "memory", "color": "color", "master_category": "category",
             "device_sku_key": "device_sku_key",
         },
-        flag="has_valid_master_sku",
+        flag="has_valid_master_sku", spread="program_sku_id",
     )
     return out.withColumn(
         "resolved_device_sku_key", F.coalesce("device_sku_key", F.lit("sku_unknown"))
@@ -118,7 +118,7 @@ def order_context(orders: DataFrame, programs: DataFrame) -> DataFrame:
     out = enrich(
         _without(orders), programs, ("program_id", "program_id"),
         ["program_name", "channel_partner_id", "partner_name", "partner_type", "is_fnf_program"],
-        flag="has_valid_program",
+        flag="has_valid_program", spread="order_id",
     )
     return out.withColumn("has_valid_channel_partner", F.col("channel_partner_id").isNotNull())
 
@@ -232,25 +232,24 @@ def subscription_context(subscriptions: DataFrame, orders: DataFrame) -> DataFra
 def int_devices(devices: DataFrame, items: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Device with the item it was sold as and the subscription on that item.
 
-    Items and subscriptions meet first: both and the devices are then hashed once on the
-    item key, and the second join reuses that partitioning. The catalog key is added if
-    the items carry it.
+    The catalog key is added if the items carry it. Items are far more than devices, so
+    the devices cross the second shuffle and the items only the first.
     """
     wanted = (
-        "order_item_id", "order_id", "program_id", "channel_partner_id", "partner_name",
-        "device_sku_key", "customer_id",
-    )
-    sold = enrich(
-        items.select(*[c for c in wanted if c in items.columns]),
-        subscriptions, ("order_item_id", "order_item_id"),
-        ["subscription_id", "subscription_status", "is_active_subscription"],
+        "order_id", "program_id", "channel_partner_id", "partner_name", "device_sku_key",
+        "customer_id",
     )
     out = enrich(
-        _without(devices), sold, ("order_item_id", "order_item_id"),
-        [c for c in sold.columns if c != "order_item_id"],
-        flag="has_valid_order_item",
+        _without(devices), items, ("order_item_id", "order_item_id"),
+        [c for c in wanted if c in items.columns],
+        flag="has_valid_order_item", spread="device_id",
     )
-    return out.withColumn("has_valid_subscription", F.col("subscription_id").isNotNull())
+    known = F.when(F.col("has_valid_order_item"), F.col("order_item_id"))
+    return enrich(
+        out.withColumn("_item", known), subscriptions, ("_item", "order_item_id"),
+        ["subscription_id", "subscription_status", "is_active_subscription"],
+        flag="has_valid_subscription", spread="device_id",
+    ).drop("_item")
 
 
 def int_customer_device_counts(devices: DataFrame) -> DataFrame:
@@ -514,7 +513,10 @@ def int_partner_api_events(
                 (customers, "customer_id", "channel_partner_id"),
         },
         "channel_partner_id",
-        self_kind=name.get(PARENT_PARTNER, PARENT_PARTNER),
+        self_kind=name.get(PARENT_PARTNER, PARENT_PARTNER), spread="api_log_id",
     )
     out = out.withColumn("has_partner_attribution", F.col("channel_partner_id").isNotNull())
-    return enrich(out, partners, ("channel_partner_id", "channel_partner_id"), ["partner_name"])
+    return enrich(
+        out, partners, ("channel_partner_id", "channel_partner_id"), ["partner_name"],
+        spread="api_log_id",
+    )

@@ -356,7 +356,7 @@ def fct_partner_api_events(events: DataFrame) -> DataFrame:
 def bridge_cp_skus(cp_skus: DataFrame, device_skus: DataFrame, partners: DataFrame) -> DataFrame:
     out = enrich(
         _without(cp_skus), partners, ("channel_partner_id", "channel_partner_id"),
-        ["partner_name", "partner_type"], flag="has_valid_channel_partner",
+        ["partner_name", "partner_type"], flag="has_valid_channel_partner", spread="cp_sku_id",
     )
     return enrich(
         out, device_skus, ("program_sku_id", "program_sku_id"),

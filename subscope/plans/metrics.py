@@ -134,12 +134,11 @@ def _values(w, df: DataFrame, keys: Keys, name: str, measure: Measure) -> DataFr
     histogram = grouped.groupBy(*keys.first_level, "_v").agg(F.count(F.lit(1)).alias("_n"))
     if keys.foreign:
         histogram = join_keys(w, histogram, keys)
-    if measure.agg == "median":
-        # merge equal values of different keys first, to keep the final buffers small
-        merged = histogram.groupBy(*keys.names, "_v").agg(F.sum("_n").alias("_n"))
-        agg = F.percentile(F.col("_v"), 0.5, F.col("_n"))
-        return merged.groupBy(*keys.names).agg(agg.alias(name))
-    return histogram.groupBy(*keys.names).agg(F.count_distinct("_v").alias(name))
+        # equal values behind different keys are one value of the group
+        histogram = histogram.groupBy(*keys.names, "_v").agg(F.sum("_n").alias("_n"))
+    median = F.percentile(F.col("_v"), 0.5, F.col("_n"))
+    agg = median if measure.agg == "median" else F.count("_v")
+    return histogram.groupBy(*keys.names).agg(agg.alias(name))
 
 
 def merge_metrics(keys: Sequence[str], parts: Sequence[DataFrame]) -> DataFrame:

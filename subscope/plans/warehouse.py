@@ -15,10 +15,11 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.operators.joins import bounded_dim
+from subscope.operators.joins import bounded_dim, plan_bytes
 from subscope.plans import conform as c
 from subscope.plans import marts as m
 from subscope.plans import staging as s
+from subscope.session import size_shuffle
 from subscope.sources.calendar import date_spine, spine_of
 from subscope.sources.raw import read_raw
 from subscope.sources.sinks import write_mart
@@ -85,7 +86,8 @@ CONTEXT: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "ctx_subscriptions": lambda w: c.subscription_context(w["ctx_prices"], w["ctx_orders"]),
     "ctx_payments": lambda w: c.int_payments_unified(
-        c.int_payments_crm(w["stg_payments"], w["ctx_orders"], None), w["int_payments_psp"]
+        c.int_payments_crm(w["stg_payments"], w["ctx_orders"], w["ctx_customer_keys"]),
+        w["int_payments_psp"],
     ),
     "ctx_devices": lambda w: c.int_devices(
         w["stg_devices"], w["ctx_item_orders"], w["stg_subscriptions"]
@@ -173,10 +175,7 @@ MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_subscription_durations": lambda w: m.dim_subscription_durations(
         w["stg_subscription_durations"], w["ctx_prices"]
     ),
-    "fct_payments": lambda w: m.fct_payments(c.int_payments_unified(
-        c.int_payments_crm(w["stg_payments"], w["ctx_orders"], w["ctx_customer_keys"]),
-        w["int_payments_psp"],
-    )),
+    "fct_payments": lambda w: m.fct_payments(w["ctx_payments"]),
     "fct_payment_attempts": lambda w: m.fct_payment_attempts(w["int_payment_attempts"]),
     "fct_psp_transactions": lambda w: m.fct_psp_transactions(
         w["stg_psp_transactions"], w["stg_psp_payments"]
@@ -209,7 +208,9 @@ MARTS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 # Read by several marts, and more than a narrow step away from the raw tables.
-SHARED = ("ctx_item_skus", "ctx_prices", "ctx_devices", "int_partner_api_events")
+SHARED = (
+    "ctx_item_skus", "ctx_prices", "ctx_payments", "ctx_devices", "int_partner_api_events",
+)
 PARTITIONED = {"fct_subscription_monthly_snapshots": ("snapshot_quarter",)}
 AS_OF_STAGED = {"stg_payment_methods"}
 
@@ -279,6 +280,12 @@ class Warehouse:
         return date_spine(self.spark, self.calendar_start, end)
 
 
+def size_for(warehouse: Warehouse, tables: Iterable[str] = ("crm_order_items", "crm_payments")) -> None:
+    """Size the session's shuffles for the largest raw tables, by their scan estimate."""
+    sizes = [plan_bytes(warehouse.raw(t)) or 0 for t in tables]
+    size_shuffle(warehouse.spark, max(sizes))
+
+
 def shared_folder(spark: SparkSession, fallback: str) -> str:
     """Folder for tables shared within one run: the cluster's checkpoint folder if it has
     one, else a place next to the output."""
@@ -296,6 +303,7 @@ def build(
     session's checkpoint folder. They can be removed once the marts are written.
     """
     spark = warehouse.spark
+    size_for(warehouse)
     folder = shared or shared_folder(spark, f"{out.rstrip('/')}/_shared")
     ready: dict[str, DataFrame] = {}
     for name in SHARED:

@@ -31,6 +31,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffle(spark: SparkSession, scan_bytes: int) -> int:
+    """Let shuffles start with enough partitions for an input of ``scan_bytes``.
+
+    The default of 200 would give partitions of hundreds of gigabytes on a large input.
+    Adaptive execution merges what turns out small, so starting high is safe; a session
+    that already starts higher is left alone. Returns the number in force.
+    """
+    have = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    need = min(-(-scan_bytes // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if need > have:
+        spark.conf.set(INITIAL_PARTITIONS, str(need))
+    return max(need, have)
+
+
 def local_session(cores: int | str = "*", app: str = "subscope") -> SparkSession:
     shuffle = os.cpu_count() if cores == "*" else cores
     spark = (

@@ -74,6 +74,47 @@ def test_hot_key_join_and_rollup_match_brute_force(spark):
     assert {r["k"]: r["s"] for r in rolled.collect()} == dict(expected)
 
 
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """A key with a third of the rows is split over tasks; nothing is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 60_000, 1, 16).select(
+            F.col("id").cast("string").alias("id"),
+            F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 5000).cast("string")).alias("k"),
+        )
+        dim = spark.range(0, 5000, 1, 4).select(
+            F.col("id").cast("string").alias("k"), F.sha1(F.col("id").cast("string")).alias("v")
+        )
+        out = joins.enrich(fact, dim, ("k", "k"), ["v"], spread="id")
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60_000 and all(r.v is not None for r in rows)
+    assert "skew=true" in plan
+
+
+def test_shuffles_are_sized_for_the_input(spark):
+    from subscope.session import INITIAL_PARTITIONS, size_shuffle
+
+    try:
+        assert size_shuffle(spark, 1024) == 8
+        assert size_shuffle(spark, 100 * 1024**4) == 50_000
+        assert size_shuffle(spark, 1024**4) == 50_000  # never lowered
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
 def test_bounded_dim_broadcasts_only_small_sources(spark, tmp_path):
     spark.range(2000).write.parquet(str(tmp_path / "d"))
     dim = spark.read.parquet(str(tmp_path / "d"))

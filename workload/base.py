@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subscope.plans.warehouse import Warehouse
+from subscope.plans.warehouse import Warehouse, size_for
 from subscope.session import configure
 from subscope.sources.bindings import bound_raw
 
@@ -21,6 +21,7 @@ SURVEY: dict[str, tuple[str, ...]] = {}  # query -> inventory ids it covers
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     configure(spark)
     w = Warehouse(spark, bound_raw(spark, sf_dir), AS_OF)
+    size_for(w)
     w.calendar_start = w["stg_orders"].agg(F.min(F.to_date("created_at")).alias("first_day"))
     return w
 
