@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SURVEY: dict[str, tuple[str, ...]] = {}  # query -> inventory ids it covers
 
 
+_PLANNED: WeakKeyDictionary[SparkSession, dict[str, Warehouse]] = WeakKeyDictionary()
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse over one folder of given tables.
+
+    One per session and folder, as a user would hold it: its models are lazy plans, so
+    nothing computed is shared between queries.
+    """
+    known = _PLANNED.setdefault(spark, {})
+    if sf_dir not in known:
+        known[sf_dir] = _plan(spark, sf_dir)
+    return known[sf_dir]
+
+
+def _plan(spark: SparkSession, sf_dir: str) -> Warehouse:
     configure(spark)
     w = Warehouse(spark, bound_raw(spark, sf_dir), AS_OF)
     size_for(w)
