@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,6 +34,14 @@ def scratch_root(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it (a cluster has it installed or as py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 class Scratch:
     """Tables written to the shared folder, so that lost executors cost no recomputation."""
 

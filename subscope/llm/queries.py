@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subscope.llm import bpe, decontaminate, secret_scan, token_files, url_filter
+from subscope.llm import bpe, decontaminate, ngram_join, secret_scan, token_files, url_filter
+from subscope.llm.common import ship
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -29,11 +31,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(_read(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_bpe_round_trip, op6_token_files, op7_decontaminate, op9_url_filter)
+    f.__name__: f for f in (op2_secret_scan, op3_bpe_round_trip, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter)
 }
 ORACLE_SQL: dict[str, str] = {}
