@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subscope.llm import bpe, decontaminate, ngram_join, secret_scan, token_files, url_filter
+from subscope.llm import (
+    bpe, decontaminate, ngram_join, quality, secret_scan, token_files, url_filter, vector_graph,
+)
 from subscope.llm.common import ship
 
 
@@ -23,6 +25,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.files_round_trip(_read(spark, sf_dir, "documents"))
 
@@ -39,7 +45,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages"))
 
 
+def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_bpe_round_trip, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter)
+    f.__name__: f for f in (op2_secret_scan, op3_bpe_round_trip, op4_quality, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph)
 }
 ORACLE_SQL: dict[str, str] = {}
