@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subscope.llm import (
-    bpe, decontaminate, ngram_join, quality, secret_scan, token_files, url_filter, vector_graph,
+    bpe, decontaminate, ngram_join, quality, secret_scan, suffix_dedup, token_files, url_filter, vector_graph,
 )
 from subscope.llm.common import ship
 
@@ -17,6 +17,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_read(spark, sf_dir, "documents"))
 
@@ -50,6 +54,6 @@ def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_bpe_round_trip, op4_quality, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph)
+    f.__name__: f for f in (op1_suffix_dedup, op2_secret_scan, op3_bpe_round_trip, op4_quality, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph)
 }
 ORACLE_SQL: dict[str, str] = {}
