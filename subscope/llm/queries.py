@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subscope.llm import (
-    bpe, decontaminate, ngram_join, quality, secret_scan, suffix_dedup, token_files, url_filter, vector_graph,
+    bpe, decontaminate, html_text, ngram_join, quality, secret_scan, suffix_dedup, token_files, url_filter, vector_graph,
 )
 from subscope.llm.common import ship
 
@@ -33,6 +33,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.files_round_trip(_read(spark, sf_dir, "documents"))
 
@@ -54,6 +58,6 @@ def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_secret_scan, op3_bpe_round_trip, op4_quality, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph)
+    f.__name__: f for f in (op1_suffix_dedup, op2_secret_scan, op3_bpe_round_trip, op4_quality, op5_html_text, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph)
 }
 ORACLE_SQL: dict[str, str] = {}
