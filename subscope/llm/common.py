@@ -24,6 +24,8 @@ BITMAP_BITS = 1 << 27
 
 # ---------------------------------------------------------------- scratch tables
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; one of our own only where none is set."""
@@ -52,7 +54,12 @@ class Scratch:
 
     def keep(self, frame: DataFrame) -> DataFrame:
         path = f"{self.folder}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
-        frame.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEAN_UP, None)
+        self.spark.conf.set(CLEAN_UP, "true")  # the shuffle files of this write serve nothing after it
+        try:
+            frame.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(CLEAN_UP) if before is None else self.spark.conf.set(CLEAN_UP, before)
         out = self.spark.read.schema(frame.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch_path = path  # noqa: SLF001

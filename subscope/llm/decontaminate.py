@@ -9,7 +9,7 @@ overlap when some stretch of ``MIN_OVERLAP`` words or more (or the whole item, i
 in ``MIN_SHARE`` of its words.
 
 Defined cases: null or empty texts are clean; items of fewer than ``MIN_WORDS`` words are too short
-to tell and ignored; items with the same words count as the one with the least id; rows with the
+to tell and ignored; items with the same words count as the one with the least id, an item without an id as ``NULL_ITEM``; rows with the
 same id (null is an id too) share one result; an empty table on either side gives only clean
 documents; other columns are ignored.
 """
@@ -28,6 +28,7 @@ from subscope.llm.common import PUNCTUATION, Scratch, bitmap_of, combine, in_bit
 #: Fixed seeds of weight six.
 MASKS = ("111111", "1101100101", "1110010011", "1010110101")
 MIN_WORDS = 8
+NULL_ITEM = -(1 << 63)
 MIN_OVERLAP = 13
 MIN_SHARE = 0.8
 SLICE_BYTES = 2 << 20
@@ -84,7 +85,7 @@ def benchmark_words(benchmark: DataFrame, item_col: str, text: str) -> DataFrame
                 names=["item", "words"])
 
     return (
-        benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text).cast("string"))
+        benchmark.select(F.coalesce(F.col(item_col).cast("long"), F.lit(NULL_ITEM)).alias("item"), F.col(text).cast("string"))
         .mapInArrow(run, "item long, words binary").groupBy("words").agg(F.min("item").alias("item"))
         .select("item", "words")
     )

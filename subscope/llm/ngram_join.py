@@ -39,7 +39,7 @@ WORDS = 5
 SIMILARITY = 80
 SLICE_BYTES = 2 << 20
 #: A shingle in this many of some 16 MB of texts counts as frequent; at most FREQUENT are listed.
-FREQUENT_LOCAL = 8
+FREQUENT_LOCAL = 3
 COUNT_ENTRIES = 2_500_000
 FREQUENT = 1 << 19
 BLOCKS = 4
