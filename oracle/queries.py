@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.models import DECIMAL, SQL, TODAY, half_up, k, lc, month, with_query
 from subscope.quality import contracts
+from subscope.schemas import RAW_DDL
 from subscope.quality.checks import Check
 
 ORACLE: dict[str, str] = {}
@@ -718,13 +719,20 @@ for _slicer, (_table, _col) in {
 put("report_sales_sliced", f"""
     select cp.partner_name, {total('gmv_amount_sar', _EL)} as gmv_sar
     from fct_orders f join stg_programs pg using (program_id) {LINKS[_PARTNER][1]}
-    where pg.program_name in ('Program NATION_1', 'Program NATION_7') group by 1""")
+    where pg.program_name in ('NATION_1', 'NATION_7') group by 1""")
 
 # --- quality --------------------------------------------------------------------------
 
 
 def failures(c: Check) -> str:
-    col, rows = c.columns[0], f"(select * from {c.table} where {c.where or 'true'})"
+    def blank_padded(table: str) -> str:  # raw CHAR columns compare without trailing blanks
+        if table not in RAW_DDL:
+            return table
+        pairs = [x.strip().split(" ", 1) for x in RAW_DDL[table].split(", ")]
+        texts = [n for n, kind in pairs if kind.startswith("string")]
+        return f"(select * replace ({', '.join(f'rtrim({n}) as {n}' for n in texts)}) from {table})"
+
+    col, rows = c.columns[0], f"(select * from {blank_padded(c.table)} where {c.where or 'true'})"
     if c.kind == "not_null":
         return f"select count(*) - count({col}) from {c.table}"
     if c.kind in ("unique", "unique_combination"):
@@ -734,7 +742,7 @@ def failures(c: Check) -> str:
     if c.kind == "relationships":
         return (
             f"select count(*) from {rows} where {col} is not null and {col} not in "
-            f"(select {c.parent_key} from {c.parent} where {c.parent_key} is not null)"
+            f"(select {c.parent_key} from {blank_padded(c.parent)} where {c.parent_key} is not null)"
         )
     listed = ", ".join(f"'{v}'" for v in c.values)
     return f"select count(distinct {col}) from {rows} where {col} not in ({listed})"
@@ -776,15 +784,29 @@ put("quality_sales_marts", audit([
     c for c in contracts.checks_of(contracts.MARTS) if c.table in ("fct_orders", "dim_programs")
 ]))
 
+for _layer, _specs in (("staged", contracts.STAGED), ("conformed", contracts.CONFORMED), ("marts", contracts.MARTS)):
+    put(f"quality_{_layer}", audit(contracts.checks_of(_specs)))
+put("quality_tolerated_orphans", " union all ".join(f"""
+    select 'relationships' as "check", '{child}' as model, '{key}' as "column", 'error' as severity,
+           count(*) filter (where lost) as failures,
+           if(count(*) filter (where lost) <= {share_} * count(*), 'pass', 'fail') as status
+    from (select {key} not in (select {key} from {parent} where {key} is not null) as lost
+          from {child} where {key} is not null)"""
+    for child, key, parent, share_ in (
+        ("stg_orders", "customer_id", "stg_accounts", 0.5), ("stg_payments", "order_id", "stg_orders", 0.0001))))
+put("kpi_upgrade_rate_by_quarter", f"""
+    select snapshot_quarter,
+           ifnull({share(cnt('is_upgraded or is_kifed'), cnt('is_active_at_quarter_start'))}, 0) as upgrade_rate
+    from {_SN} group by 1""")
+
 # --- profiling ------------------------------------------------------------------------
 
 put("profile_tables", " union all ".join(
     f"select '{t}' as table_name, count(*) as row_count, count(distinct id) as distinct_keys, "
     f"(select count(*) from (select id from {t} where id is not null group by id having count(*) > 1)) "
     f"as duplicated_keys, {cnt(gone)} as deleted_rows from {t}"
-    for t, gone in (
-        ("crm_orders", "deleted"), ("crm_order_items", "deleted"), ("crm_payments", "deleted"),
-        ("payments_payments", "deleted_at is not null"))
+    for t, gone in ((t, "deleted_at is not null" if "deleted_at" in RAW_DDL[t].replace("_etl_deleted_at", "") else
+                     "_etl_deleted_at is not null" if "_etl_deleted_at" in RAW_DDL[t] else "deleted") for t in RAW_DDL)
 ))
 put("profile_status_values", """
     select subscription_status, count(*) as rows from crm_subscriptions group by 1""")

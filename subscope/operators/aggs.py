@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from subscope.functions.clean import _c
@@ -87,9 +88,10 @@ def date_rollup(df: DataFrame, date_col: str, aggs: Mapping[str, Column]) -> Dat
     return out.withColumn("level", level.cast("int")).drop("_g")
 
 
-def latest_period(df: DataFrame, col: str) -> Column:
-    """The column's overall maximum as a scalar, untouched by filters on the caller's side."""
-    return df.agg(F.max(col)).scalar()
+def of_latest_period(counted: DataFrame, col: str) -> DataFrame:
+    """The rows of the last period of a finished aggregate, whose input is read once."""
+    last = F.max(col).over(Window.partitionBy(F.lit(0)))
+    return counted.withColumn("_last", last).where(F.col(col) == F.col("_last")).drop("_last")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -3,9 +3,8 @@ long as the looked-up key is unique (``quality.checks`` tests that contract).
 
 Scale rules
 -----------
-* A side is broadcast only when Catalyst's size estimate of the table it is made from is
-  under ``BROADCAST_BYTES``; otherwise the join is a shuffle join, where adaptive
-  execution may still switch to a broadcast on measured sizes and splits hot keys.
+* No side is marked for broadcast. Adaptive execution broadcasts one when its measured size is
+  under the session's threshold; otherwise the join is a shuffle join whose hot keys it splits.
 * ``spread`` keeps the rows whose key is NULL from meeting in a single task.
 """
 
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 from subscope.functions.clean import _c
 from subscope.functions.flags import differs
 
-BROADCAST_BYTES = 16 * 1024 * 1024
 _KEY = "_lookup_key"
 
 
@@ -34,17 +32,6 @@ def plan_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def bounded_dim(dim: DataFrame, grown_from: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``dim`` for broadcast if the table it has one row each of is small.
-
-    Catalyst multiplies the sizes of joined inputs, so a small dimension that was itself
-    enriched looks huge. It has exactly the rows of ``grown_from``, whose estimate is a
-    file size, and that is what gets compared with the limit.
-    """
-    size = plan_bytes(grown_from)
-    return F.broadcast(dim) if size is not None and size <= limit else dim
-
-
 def _taking(take: Sequence[str] | Mapping[str, str | Column]) -> dict[str, str | Column]:
     return dict(take) if isinstance(take, Mapping) else {c: c for c in take}
 

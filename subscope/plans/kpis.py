@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from subscope.functions.dates import whole_days
@@ -197,5 +198,5 @@ ALL_KPIS = (*KPIS, *SPECIAL)
 
 def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
     """Each group's share of the total, for the few rows of a finished aggregate."""
-    total = df.agg(F.sum(measure)).scalar()
-    return df.withColumn(name, ratio(measure, total))
+    total = F.sum(measure).over(Window.partitionBy(F.lit(0)))
+    return df.withColumn("_total", total).withColumn(name, ratio(measure, "_total")).drop("_total")

@@ -15,10 +15,11 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.operators.joins import bounded_dim, plan_bytes
+from subscope.operators.joins import plan_bytes
 from subscope.plans import conform as c
 from subscope.plans import marts as m
 from subscope.plans import staging as s
+from subscope.schemas import RAW_TABLES
 from subscope.session import size_shuffle
 from subscope.sources.calendar import date_spine, spine_of
 from subscope.sources.raw import read_raw
@@ -59,17 +60,11 @@ STAGED: dict[str, tuple[str, Callable[..., DataFrame]]] = {
 }
 
 
-def _small(w: Warehouse, dim: DataFrame, base: str) -> DataFrame:
-    return bounded_dim(dim, w[base])
-
-
 # Slim variants ("ctx_") of conformed tables: the columns other facts look up, without the
 # joins that only serve a table's own mart.
 CONTEXT: dict[str, Callable[[Warehouse], DataFrame]] = {
-    "ctx_programs": lambda w: _small(
-        w, c.program_directory(w["stg_programs"], w["int_channel_partners"]), "stg_programs"
-    ),
-    "ctx_device_skus": lambda w: _small(w, w["int_device_skus"], "stg_program_skus"),
+    "ctx_programs": lambda w: c.program_directory(w["stg_programs"], w["int_channel_partners"]),
+    "ctx_device_skus": lambda w: w["int_device_skus"],
     "ctx_customer_keys": lambda w: w["stg_accounts"].select("customer_id"),
     "ctx_orders": lambda w: c.order_context(w["stg_orders"], w["ctx_programs"]),
     "ctx_orders_customers": lambda w: c.int_orders(
@@ -280,10 +275,20 @@ class Warehouse:
         return date_spine(self.spark, self.calendar_start, end)
 
 
-def size_for(warehouse: Warehouse, tables: Iterable[str] = ("crm_order_items", "crm_payments")) -> None:
-    """Size the session's shuffles for the largest raw tables, by their scan estimate."""
-    sizes = [plan_bytes(warehouse.raw(t)) or 0 for t in tables]
-    size_shuffle(warehouse.spark, max(sizes))
+def size_for(
+    warehouse: Warehouse, scan_bytes: int | None = None, tables: Iterable[str] = tuple(RAW_TABLES)
+) -> int:
+    """Size the session's shuffles for the largest raw table; returns its bytes.
+
+    The estimate is Catalyst's. Where a session has none (Spark Connect), ``scan_bytes`` must say it.
+    """
+    if scan_bytes is None:
+        sizes = [plan_bytes(warehouse.raw(t)) for t in tables]
+        if None in sizes:
+            raise ValueError("this session estimates no sizes: pass scan_bytes")
+        scan_bytes = max(sizes)
+    size_shuffle(warehouse.spark, scan_bytes)
+    return scan_bytes
 
 
 def shared_folder(spark: SparkSession, fallback: str) -> str:

@@ -105,27 +105,83 @@ def _single(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
         return _report(dq_unique_combination(df, c.columns, c.where), c)
     if c.kind == ACCEPTED:
         return _report(dq_accepted_values(df, c.columns[0], c.values, c.where), c)
-    if c.kind == RELATIONSHIPS:
-        found = dq_relationships(df, c.columns[0], tables[c.parent], c.parent_key, c.where)
-        if c.max_ratio is None:
-            return _report(found, c)
-        keys = _rows(df, c.where).agg(F.count(c.columns[0])).scalar()
-        return _report(found, c, tolerated=keys * F.lit(c.max_ratio))
     raise ValueError(f"unknown check {c.kind!r}")
 
 
+def _relationships(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All relationship checks together: each child and each parent is read once.
+
+    The keys of a child's checks are stacked and counted, and met with the stacked keys of the
+    parents in one join; what has no parent is summed up per check.
+    """
+    parents = {key: i for i, key in enumerate(dict.fromkeys((c.parent, c.parent_key) for c in checks))}
+    children: dict[str, list[int]] = {}
+    for i, c in enumerate(checks):
+        children.setdefault(c.table, []).append(i)
+
+    def keys(numbers: Sequence[int]) -> Column:
+        def key(c: Check) -> Column:
+            value = F.col(c.columns[0]).cast("string")
+            return value if c.where is None else F.when(F.expr(c.where), value)
+
+        return F.array(*[
+            F.struct(
+                F.lit(i).alias("check_no"),
+                F.lit(parents[checks[i].parent, checks[i].parent_key]).alias("parent_no"),
+                key(checks[i]).alias("key"),
+            ) for i in numbers
+        ])
+
+    counted = [
+        tables[t].select(F.inline(keys(numbers))).where(F.col("key").isNotNull())
+        .groupBy("check_no", "parent_no", "key").agg(F.count(F.lit(1)).alias("n"))
+        for t, numbers in children.items()
+    ]
+    by_parent: dict[str, list[tuple[str, int]]] = {}
+    for (parent, pk), number in parents.items():
+        by_parent.setdefault(parent, []).append((pk, number))
+    known = [
+        tables[p].select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("parent_no"), F.col(pk).cast("string").alias("key")) for pk, i in lots
+        ]))).where(F.col("key").isNotNull()).distinct()
+        for p, lots in by_parent.items()
+    ]
+    met = reduce(DataFrame.union, counted).join(
+        reduce(DataFrame.union, known).withColumn("known", F.lit(True)), ["parent_no", "key"], "left"
+    )
+    sums = met.groupBy("check_no").agg(
+        F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("lost"), F.sum("n").alias("keys"))
+    listed = sums.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("check_no"), F.lit(c.table).alias("model"), F.lit(c.column).alias("column"),
+            F.lit(c.severity).alias("severity"), F.lit(float(c.max_ratio or 0)).alias("ratio"),
+        ) for i, c in enumerate(checks)
+    ])))
+    found = listed.join(sums, "check_no", "left").withColumn(
+        "failures", F.coalesce("lost", F.lit(0)).cast("bigint"))
+    return found.select(
+        F.lit(RELATIONSHIPS).alias("check"), "model", "column", "severity", "failures",
+        _status(F.col("severity"), F.coalesce("keys", F.lit(0)) * F.col("ratio")).alias("status"),
+    )
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """All checks as one DataFrame (check, model, column, severity, failures, status).
 
-    The not_null checks of a table share one pass over it.
+    The not_null checks of a table share one pass over it, all relationships share one join.
     """
     parts: list[DataFrame] = []
+    related: list[Check] = []
     together: dict[tuple[str, str, str | None], list[Check]] = {}
     for c in checks:
         if c.kind == NOT_NULL:
             together.setdefault((c.table, c.severity, c.where), []).append(c)
+        elif c.kind == RELATIONSHIPS:
+            related.append(c)
         else:
             parts.append(_single(tables, c))
+    if related:
+        parts.append(_relationships(tables, related))
     for (table, _, where), group in together.items():
         cols = [col for c in group for col in c.columns]
         parts.append(_report(dq_not_null(tables[table], *cols, where=where), group[0]))

@@ -32,7 +32,6 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 SHUFFLE_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -44,7 +43,7 @@ def size_shuffle(spark: SparkSession, scan_bytes: int) -> int:
     that already starts higher is left alone. Returns the number in force.
     """
     have = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    need = min(-(-scan_bytes // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    need = -(-scan_bytes // SHUFFLE_BYTES)
     if need > have:
         spark.conf.set(INITIAL_PARTITIONS, str(need))
     return max(need, have)

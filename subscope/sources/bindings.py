@@ -29,7 +29,6 @@ ORDERED = "cast(o_orderdate as date)"
 class Binding:
     source: str
     columns: dict[str, str]
-    where: str = "true"
     distinct: tuple[str, ...] = ()
 
 
@@ -72,7 +71,7 @@ EPOCH = "date '1995-01-01'"
 
 def _crm(
     source: str, pk: str, prefix: str, k: str, name: str, entered: str, modified: str, /, *,
-    where: str = "true", deleted: str | None = None, distinct: tuple[str, ...] = (),
+    deleted: str | None = None, distinct: tuple[str, ...] = (),
     **columns: str,
 ) -> Binding:
     head = {
@@ -80,12 +79,12 @@ def _crm(
         "date_modified": modified, "deleted": _deleted(k) if deleted is None else deleted,
     }
     tail = {"_etl_synced_at": SYNC, "_etl_source_system": "'crm'"}
-    return Binding(source, {**head, **columns, **tail}, where, distinct)
+    return Binding(source, {**head, **columns, **tail}, distinct)
 
 
-def _psp(source: str, pk: str, prefix: str, /, *, where: str = "true", **columns: str) -> Binding:
+def _psp(source: str, pk: str, prefix: str, /, **columns: str) -> Binding:
     tail = {"_etl_synced_at": SYNC, "_etl_source_system": "'psp'"}
-    return Binding(source, {"id": f"concat('{prefix}-', {pk})", **columns, **tail}, where)
+    return Binding(source, {"id": f"concat('{prefix}-', {pk})", **columns, **tail})
 
 
 _r, _n, _s, _cu, _p, _o, _e = (
@@ -274,7 +273,6 @@ BINDINGS: dict[str, Binding] = {
     "crm_subscriptions": _crm(
         "lineitem", ITEM, "su", _mix, f"concat('sub ', {_lo})",
         _at(SHIP, f"{_lp} % 24 - 48"), _at(_day(SHIP, f"{_lp} % 300"), f"{_lp} % 24"),
-        where="l_linenumber = 1",
         subscription_uid=f"concat('S', {_lo}, ' ')",
         subscription_status=(
             f"case when {_lp} % 37 = 0 then cast(null as string) "
@@ -322,7 +320,7 @@ BINDINGS: dict[str, Binding] = {
     ),
     "crm_devices": _crm(
         "lineitem", ITEM, "dv", f"({_mix} + 2)", f"concat('device ', {_lp})",
-        _at(SHIP, "1"), _at(SHIP, "2"), where="l_linestatus = 'F'",
+        _at(SHIP, "1"), _at(SHIP, "2"),
         serial_number=f"concat(' SN', {_lo}, ' ')",
         purchase_price="cast(l_extendedprice as decimal(18,4))",
         purchase_date=f"case when {_lp} % 25 = 0 then cast(null as date) else {_day(SHIP, '-10')} end",
@@ -340,14 +338,13 @@ BINDINGS: dict[str, Binding] = {
     "crm_devices_journey": _crm(
         "lineitem", ITEM, "dj", f"({_mix} + 3)", f"concat('move ', {_lp})",
         _at(_day(SHIP, "4"), f"{_lp} % 24"), _at(_day(SHIP, "5"), "0"),
-        where="l_linestatus = 'F' and l_returnflag = 'R'",
         device_movement=_pick(_lp, " Returned", "SHIPPED", None),
         movement_date=_day(SHIP, f"{_lp} % 30"),
         devices_journey_device_id=_fk("dv", ITEM, _mix, 15),
     ),
     "crm_payments": _crm(
         "lineitem", ITEM, "py", f"({_mix} + 4)", f"concat('pay ', {_lp})",
-        _at(SHIP, f"{_lp} % 24"), _at(SHIP, f"{_lp} % 24 + 5"), where="l_linenumber <= 2",
+        _at(SHIP, f"{_lp} % 24"), _at(SHIP, f"{_lp} % 24 + 5"),
         payment_status=_pick(
             _mix, "Paid ", "paid", " failed", "Refunded", "not_invoiced", "CANCELLED", None
         ),
@@ -379,7 +376,7 @@ BINDINGS: dict[str, Binding] = {
     ),
     "crm_payment_history": _crm(
         "lineitem", ITEM, "ph", f"({_mix} + 7)", f"concat('try ', {_lp})",
-        _at(SHIP, f"{_lp} % 24"), _at(SHIP, f"{_lp} % 24 + 1"), where="l_linenumber <= 3",
+        _at(SHIP, f"{_lp} % 24"), _at(SHIP, f"{_lp} % 24 + 1"),
         payment_method_id=_fk("pm", f"{_ls} * 3", f"({_mix} + 3)"),
         error_code=_pick(_lp, "E1 ", None), error_reason=_pick(_lp, " declined", None),
         last_four=f"concat({_lp} % 10000, ' ')",
@@ -428,7 +425,7 @@ BINDINGS: dict[str, Binding] = {
     ),
     "crm_invoice_line_items": _crm(
         "lineitem", ITEM, "il", f"({_mix} + 8)", f"concat('line ', {_lp})",
-        _at(SHIP, "5"), _at(SHIP, "6"), where="l_linenumber <= 4",
+        _at(SHIP, "5"), _at(SHIP, "6"),
         amount="l_extendedprice", line_item_id=f"case when {_lp} % 2 = 0 then ' ' else concat('li-', {_lp}) end",
         quantity="cast(l_quantity as int)",
         amount_ex_vat="cast(floor(l_extendedprice) as decimal(18,4))",
@@ -445,7 +442,7 @@ BINDINGS: dict[str, Binding] = {
     "crm_credit_notes": _crm(
         "lineitem", ITEM, "cn", f"({_mix} + 1)", f"concat('CN ', {_lp})",
         f"case when {_lp} % 45 = 0 then {NULL_TS} else {_at(SHIP, f'{_lp} % 2400')} end",
-        _at(SHIP, "9"), where="l_returnflag = 'R' and l_linenumber = 3",
+        _at(SHIP, "9"),
         invoice_id=_fk("iv", _lo, f"({_mix} + 2)", 24),
         credit_note_zoho_url=f"concat(' https://example.com/', {_lp})",
         zoho_status=_pick(_lp, " Open", "CLOSED", None),
@@ -472,7 +469,8 @@ BINDINGS: dict[str, Binding] = {
         source="concat(' ', event_type)",
     ),
     "payments_payments": _psp(
-        "lineitem", ITEM, "pp", where=f"l_linenumber <= 2 and {_lp} % 5 > 1 and {_lp} % 7 <> 0",
+        # payments the PSP knows under another key: their CRM payment finds none
+        "lineitem", f"case when {_lp} % 7 = 0 then concat({ITEM}, '-own') else {ITEM} end", "pp",
         payment_type=_pick(_lp, " Recurring", "one_time"),
         amount=(
             f"case when {_lp} % 47 = 0 or {_lp} % 71 = 0 then cast(null as double) "
@@ -502,7 +500,7 @@ BINDINGS: dict[str, Binding] = {
         _etl_deleted_at=f"case when {_e} % 61 = 0 then cast(ts as timestamp) else {NULL_TS} end",
     ),
     "payments_refunds": _psp(
-        "orders", _o, "rf", where="o_orderstatus = 'P'",
+        "orders", _o, "rf",
         refund_id=f"concat(' re', {_o})", payment_intent_id=f"case when {_o} % 5 = 0 then ' ' else concat('pi-', {_o}) end",
         amount=f"cast({_o} % 500 as int)", status=_pick(_o, "Approved", " approved ", "pending", None),
         currency=_pick(_o, "SAR ", "sar"), created_at=_at(ORDERED, "5"), updated_at=_at(ORDERED, "6"),
@@ -563,7 +561,7 @@ def bound_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if b.distinct:
         base = base.select(*b.distinct).distinct()
     schema = raw_schema(table)
-    return base.where(b.where).selectExpr(*[
+    return base.selectExpr(*[
         f"cast({b.columns[f.name]} as {f.dataType.simpleString()}) as `{f.name}`" for f in schema
     ])
 
@@ -580,5 +578,5 @@ def bound_sql(table: str) -> str:
         base = f"(select distinct {', '.join(b.distinct)} from {b.source})"
     types = dict(c.strip().split(" ", 1) for c in RAW_DDL[table].split(", "))
     cols = ", ".join(f"cast({e} as {types[c]}) as {c}" for c, e in b.columns.items())
-    return f"select {cols} from {base} where {b.where}"
+    return f"select {cols} from {base}"
 

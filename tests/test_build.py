@@ -14,7 +14,7 @@ from subscope.quality import checks, contracts
 from subscope.sources.bindings import bound_raw
 from subscope.sources.sinks import write_bucketed
 
-AS_OF = "2002-01-15"
+AS_OF = "2000-02-15"
 
 
 @pytest.fixture(scope="module")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from subscope.operators.joins import match_rate
 from subscope.plans import kpis, metrics, reports
 from subscope.plans.semantics import METRICS, MODELS, Simple
 from subscope.quality import checks, contracts, profile
-from subscope.schemas import RAW_TABLES, TableSpec
+from subscope.schemas import RAW_TABLES, TableSpec, raw_schema
 from subscope.sources.calendar import spine_of
 from workload.base import query
 
@@ -167,14 +169,18 @@ for _slicer in reports.SLICERS:
 
 @query("report_sales_sliced", "R16", "J14")
 def _(w):
-    return reports.gmv_by_partner(w, {PROGRAM: ["Program NATION_1", "Program NATION_7"]})
+    return reports.gmv_by_partner(w, {PROGRAM: ["NATION_1", "NATION_7"]})
 
 
 # --- quality --------------------------------------------------------------------------
 
 
 def raw_tables(w):
-    return {t: w.raw(t) for t in RAW_TABLES}
+    """Raw tables as their database compares them: trailing blanks of CHAR columns do not count."""
+    def char(df):
+        return df.withColumns({c: F.rtrim(c) for c, kind in df.dtypes if kind == "string"})
+
+    return {t: char(w.raw(t)) for t in RAW_TABLES}
 
 
 def _raw_checks(kind):
@@ -229,14 +235,34 @@ def _(w):
     return checks.run_checks(w, lots)
 
 
+for _layer, _specs in (("staged", contracts.STAGED), ("conformed", contracts.CONFORMED), ("marts", contracts.MARTS)):
+    query(f"quality_{_layer}", "Q1", "Q2", "Q3", "Q4", "Q5")(
+        lambda w, s=_specs: checks.run_checks(w, contracts.checks_of(s))
+    )
+
+
+@query("quality_tolerated_orphans", "Q3", "Q7")
+def _(w):
+    """Orphans up to a tolerated share: one check passes, one does not."""
+    lost = checks.Check(checks.RELATIONSHIPS, "stg_orders", ("customer_id",), parent="stg_accounts",
+                        parent_key="customer_id", max_ratio=0.5)
+    return checks.run_checks(w, [lost, replace(lost, table="stg_payments", columns=("order_id",), parent="stg_orders",
+                                               parent_key="order_id", max_ratio=0.0001)])
+
+
+@query("kpi_upgrade_rate_by_quarter", "KP12")
+def _(w):
+    return kpis.kpi(w, "upgrade_rate", ["snapshot_quarter"])
+
+
 # --- profiling ------------------------------------------------------------------------
 
 
 @query("profile_tables", "D1")
 def _(w):
     out = None
-    for t in ("crm_orders", "crm_order_items", "crm_payments", "payments_payments"):
-        at = "deleted_at" if t.startswith("payments_") else None
+    for t in RAW_TABLES:
+        at = next((f.name for f in raw_schema(t) if f.name.endswith("deleted_at")), None)
         one = profile.profile_table(w.raw(t), "id", deleted_at=at).withColumn("table_name", F.lit(t))
         out = one if out is None else out.unionByName(one)
     return out

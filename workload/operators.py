@@ -476,10 +476,8 @@ def _(w):
 @query("latest_period_only", "A18")
 def _(w):
     snaps = w["fct_subscription_monthly_snapshots"]
-    latest = aggs.latest_period(snaps, "snapshot_quarter")
-    return snaps.where(F.col("snapshot_quarter") == latest).groupBy(
-        "snapshot_quarter", "subscription_status"
-    ).agg(aggs.count_rows().alias("rows"))
+    counted = snaps.groupBy("snapshot_quarter", "subscription_status").agg(aggs.count_rows().alias("rows"))
+    return aggs.of_latest_period(counted, "snapshot_quarter")
 
 
 @query("date_hierarchy_totals", "A19")
