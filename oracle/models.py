@@ -11,7 +11,7 @@ import re
 
 from subscope.sources.bindings import BINDINGS, bound_sql
 
-AS_OF = "2000-02-15"
+AS_OF = "2001-11-20"
 TODAY = f"date '{AS_OF}'"
 
 

@@ -294,7 +294,7 @@ def size_for(
 def shared_folder(spark: SparkSession, fallback: str) -> str:
     """Folder for tables shared within one run: the cluster's checkpoint folder if it has
     one, else a place next to the output."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or fallback
     return f"{base.rstrip('/')}/run-{uuid4().hex}"
 
 

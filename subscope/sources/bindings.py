@@ -22,6 +22,8 @@ ITEM = (
     "cast(floor(l_extendedprice * 100 + 0.5) as bigint))"
 )
 SHIP = "cast(l_shipdate as date)"
+# no subscription ends or changes later, so that the latest quarter is one with subscriptions and events
+LAST_CHANGE = "2001-11-18"
 ORDERED = "cast(o_orderdate as date)"
 
 
@@ -272,7 +274,8 @@ BINDINGS: dict[str, Binding] = {
     ),
     "crm_subscriptions": _crm(
         "lineitem", ITEM, "su", _mix, f"concat('sub ', {_lo})",
-        _at(SHIP, f"{_lp} % 24 - 48"), _at(_day(SHIP, f"{_lp} % 300"), f"{_lp} % 24"),
+        _at(SHIP, f"{_lp} % 24 - 48"),
+        f"least({_at(_day(SHIP, f'{_lp} % 300'), f'{_lp} % 24')}, cast('{LAST_CHANGE} 00:00:00' as timestamp))",
         subscription_uid=f"concat('S', {_lo}, ' ')",
         subscription_status=(
             f"case when {_lp} % 37 = 0 then cast(null as string) "
@@ -282,11 +285,11 @@ BINDINGS: dict[str, Binding] = {
         ),
         service_start_date=f"case when {_lp} % 13 = 0 then cast(null as date) else {SHIP} end",
         service_end_date=(
-            f"case when l_returnflag = 'R' and {_lp} % 4 <> 0 then {_day(SHIP, f'{_lp} % 400')} "
+            f"case when l_returnflag = 'R' and {_lp} % 4 <> 0 then least({_day(SHIP, f'{_lp} % 400')}, cast('{LAST_CHANGE}' as date)) "
             "else cast(null as date) end"
         ),
         subscription_close_date=(
-            f"case when {_lp} % 3 = 0 then {_day(SHIP, f'{_lp} % 230 - 60')} "
+            f"case when {_lp} % 3 = 0 then least({_day(SHIP, f'{_lp} % 230 - 60')}, cast('{LAST_CHANGE}' as date)) "
             "else cast(null as date) end"
         ),
         order_item_id=f"concat('it-', {ITEM}, '  ')",

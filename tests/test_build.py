@@ -14,7 +14,7 @@ from subscope.quality import checks, contracts
 from subscope.sources.bindings import bound_raw
 from subscope.sources.sinks import write_bucketed
 
-AS_OF = "2000-02-15"
+AS_OF = "2001-11-20"
 
 
 @pytest.fixture(scope="module")
@@ -52,10 +52,12 @@ def test_quarter_filter_prunes_partitions(written):
     assert "PartitionFilters: [isnotnull(snapshot_quarter" in df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("setting, expected", [("/shared/", "/shared/run-"), (None, "/x/run-")])
-def test_shared_folder_follows_the_cluster_setting(setting, expected):
+@pytest.mark.parametrize("setting, on_context, expected", [
+    ("/shared/", None, "/shared/run-"), (None, "/context", "/context/run-"), (None, None, "/x/run-"),
+])
+def test_shared_folder_follows_the_cluster_setting(setting, on_context, expected):
     conf = SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": setting}[key] or default)
-    session = SimpleNamespace(conf=conf)
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: on_context))
     assert shared_folder(session, "/x").startswith(expected)
     assert shared_folder(session, "/x") != shared_folder(session, "/x")
 

@@ -13,7 +13,7 @@ from subscope.plans.warehouse import Warehouse, size_for
 from subscope.session import configure
 from subscope.sources.bindings import bound_raw
 
-AS_OF = "2000-02-15"  # fixed, so that runs can be compared
+AS_OF = "2001-11-20"  # fixed, so that runs can be compared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SURVEY: dict[str, tuple[str, ...]] = {}  # query -> inventory ids it covers

@@ -77,7 +77,7 @@ def _(w):
 
 def _scratch(w) -> str:
     """Shared folder of the run; only a session without one (tests) uses a local folder."""
-    named = w.spark.conf.get("spark.checkpoint.dir", None)
+    named = w.spark.conf.get("spark.checkpoint.dir", None) or w.spark.sparkContext.getCheckpointDir()
     return shared_folder(w.spark, named or mkdtemp(prefix="subscope-"))
 
 
