@@ -285,11 +285,14 @@ def main_text(model: Model, source: str | None) -> str:
 
 def fit(pages: DataFrame, source: str = "html") -> Model:
     """Potentials counted on the bounded sample of pages that mark their article."""
-    sample = (
+    marked = (
         pages.select(F.col(source).cast("string").alias("html"))
         .where(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.length("html") <= SAMPLE_CHARS))
-        .distinct().withColumn("h", F.xxhash64("html")).orderBy("h").limit(SAMPLE).select("html")
+        .withColumn("h", F.xxhash64("html"))
     )
+    # only hashes are compared over all pages; pages are moved only if they are in the sample
+    least = [r.h for r in marked.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]
+    sample = marked.where(F.col("h").isin(least)).dropDuplicates(["h"]).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -311,7 +314,7 @@ def fit(pages: DataFrame, source: str = "html") -> Model:
              pa.array(list(counts.values()), pa.int64())], names=["feature", "state", "n"])
 
     rows = (
-        sample.repartition(8).mapInArrow(run, "feature string, state int, n long")
+        sample.mapInArrow(run, "feature string, state int, n long")
         .groupBy("feature", "state").agg(F.sum("n").alias("n")).where("n >= 2 or feature like 'e:%'").collect()
     )  # features of at most SAMPLE pages
     seen: Counter = Counter()
