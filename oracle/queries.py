@@ -682,6 +682,10 @@ put("report_finance_by_month", """
            cast(invoiced_revenue_sar as double) as invoiced_revenue_sar,
            cast(finance_variance_sar as double) as finance_variance_sar
     from fct_finance_reconciliation_monthly""")
+put("report_executive_finance", """
+    select reconciliation_month, cast(collected_revenue_sar as double) as collected_revenue_sar,
+           cast(invoiced_revenue_sar as double) as invoiced_revenue_sar
+    from fct_finance_reconciliation_monthly""")
 report("report_finance_refunds_by_partner", "(select * exclude (partner_name) from fct_refunds)",
        f"{total('refund_amount_sar')} as refund_amount_sar", "partner_name")
 report("report_finance_credit_notes_by_partner", "fct_credit_notes",

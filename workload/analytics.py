@@ -151,6 +151,7 @@ REPORTS = {
     "report_subscriptions_by_status": (reports.subscriptions_by_status, "R6"),
     "report_subscriptions_by_partner": (reports.subscriptions_by_partner, "R7"),
     "report_finance_by_month": (reports.finance_by_month, "R8"),
+    "report_executive_finance": (lambda w: reports.finance_by_month(w, variance=False), "R8"),
     "report_finance_refunds_by_partner": (reports.refunds_by_partner, "R9"),
     "report_finance_credit_notes_by_partner": (reports.credit_notes_by_partner, "R10"),
     "report_customers_verified_by_company": (reports.verified_customers_by_company, "R11"),
