@@ -10,10 +10,15 @@ transpose counts overlaps. Two sets link when ``100 * overlap >= SIMILARITY * un
 2. *Blocks of columns.* Entries are shuffled by column. Columns with one set are dropped. In the
    others every set is paired with the column's least set (not with every other one), if sizes
    and positions allow the required overlap.
-3. *Overlaps.* The full rows of a pair are multiplied block by block of the hash range; a pair is
-   discarded as soon as what it has plus what is left stays below its bound.
-4. *The rest.* Pairs that share a column but lie in different components of the links so far
-   are multiplied too. Pairs inside one component need no count, as only components are reported.
+3. *Block sizes.* Every row has the sizes of its ``SIZE_BLOCKS`` blocks of the hash range. The sum of
+   the lesser sizes bounds the overlap from above, so most pairs are discarded without their rows.
+4. *Overlaps.* The full rows of a pair are multiplied block by block; a pair is discarded as soon as
+   what it has plus what is left stays below its bound.
+5. *Rounds.* In columns whose sets lie in different components of the links so far, a few sets chosen
+   by hash are paired with those of other components (``CHOSEN``). That joins up large groups of
+   near copies at a cost that grows with the group, not with its square.
+6. *The rest.* Pairs that share a column but still lie in different components are multiplied too.
+   Pairs inside one component need no count, as only components are reported.
 
 Rows are 64-bit fingerprints of shingle sets and columns 64-bit hashes of shingles; equal sets
 are one row. Defined cases: null or empty texts have no shingles and are linked with nothing; fewer
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subscope.llm.common import (
@@ -43,6 +48,9 @@ FREQUENT_LOCAL = 3
 COUNT_ENTRIES = 2_500_000
 FREQUENT = 1 << 19
 BLOCKS = 4
+SIZE_BLOCKS = 256
+#: Sets chosen by hash in each open column, round by round.
+CHOSEN = (1, 4, 16)
 
 
 def shingle_rows(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -70,8 +78,23 @@ def needed(n: int, other: int, similarity: int) -> int:
     return -(-similarity * (n + other) // (100 + similarity))
 
 
+def block_sizes(row: np.ndarray, value: np.ndarray, rows: int) -> list[bytes]:
+    """Per row the sizes of its blocks, one byte each, or two each where a size needs them."""
+    block = (value >> np.uint64(56)).astype(np.int64)
+    sizes = np.bincount(row * SIZE_BLOCKS + block, minlength=rows * SIZE_BLOCKS).reshape(rows, SIZE_BLOCKS)
+    small = sizes.max(axis=1, initial=0) < 256
+    return [r.astype(np.uint8 if s else "<u4").tobytes() for r, s in zip(sizes, small, strict=True)]
+
+
+def most_overlap(a: bytes, b: bytes) -> int:
+    """No two rows with these block sizes overlap in more shingles."""
+    x, y = (np.frombuffer(z, np.uint8 if len(z) == SIZE_BLOCKS else "<u4") for z in (a, b))
+    return int(np.minimum(x, y).sum(dtype=np.int64))
+
+
 def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """Rows (kind 0, id, fingerprint or null, n) per document and (kind 1, null, shingle, count) of frequent ones."""
+    """Rows (kind 0, id, fingerprint or null, n, block sizes) per document and
+    (kind 1, null, shingle, count, null) of frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -82,14 +105,16 @@ def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             many = count >= FREQUENT_LOCAL
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(many.sum(), np.int32)), pa.nulls(int(many.sum()), pa.int64()),
-                 pa.array(value[many].view(np.int64)), pa.array(count[many])], names=["kind", "id", "key", "n"])
+                 pa.array(value[many].view(np.int64)), pa.array(count[many]), pa.nulls(int(many.sum()), pa.binary())],
+                names=["kind", "id", "key", "n", "sizes"])
 
         for batch in batches:
-            for low, high, _, value, count, prints in shingle_rows(batch.column(1), k):
+            for low, high, row, value, count, prints in shingle_rows(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(high - low, np.int32)), batch.column(0).slice(low, high - low),
-                     pa.array(prints.view(np.int64), mask=count == 0), pa.array(count.astype(np.int64))],
-                    names=["kind", "id", "key", "n"])
+                     pa.array(prints.view(np.int64), mask=count == 0), pa.array(count.astype(np.int64)),
+                     pa.array(block_sizes(row, value, high - low), pa.binary())],
+                    names=["kind", "id", "key", "n", "sizes"])
                 held.append(value)
                 entries += len(value)
                 if entries >= COUNT_ENTRIES:
@@ -99,7 +124,7 @@ def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             yield frequent()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string")).mapInArrow(
-        run, "kind int, id long, key long, n long")
+        run, "kind int, id long, key long, n long, sizes binary")
 
 
 def prefix_entries(docs: DataFrame, text: str, k: int, similarity: int, frequent) -> DataFrame:
@@ -207,6 +232,21 @@ def multiply(a: np.ndarray, b: np.ndarray, least: int) -> int:
     return got
 
 
+def within_bounds(pairs: DataFrame, sizes: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (a, b) whose block sizes allow them to link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, n, m = (batch.column(i).to_pylist() for i in range(2, 6))
+            good = [most_overlap(p, q) >= needed(i, j, similarity) for p, q, i, j in zip(x, y, n, m, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    of_a = sizes.select(F.col("fp").alias("a"), F.col("sizes").alias("x"), F.col("n").alias("i"))
+    of_b = sizes.select(F.col("fp").alias("b"), F.col("sizes").alias("y"), F.col("n").alias("j"))
+    return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "x", "y", "i", "j").mapInArrow(run, "a long, b long")
+
+
 def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int) -> DataFrame:
     """The pairs (a, b) of fingerprints whose sets link."""
     spark = docs.sparkSession
@@ -257,31 +297,50 @@ def similarity_components(
     frequent = spark.sparkContext.broadcast((keys[order], often.column("n").to_numpy()[order]))
 
     columns = scratch.keep(shared_columns(prefix_entries(docs, text, k, similarity, frequent)))
-    stars = scratch.keep(
-        columns.where("fp <> c_fp").where(possible("", "c_", similarity))
-        .select(F.col("c_fp").alias("a"), F.col("fp").alias("b")).distinct()
+    in_columns = columns.select("fp").distinct()
+    sizes = scratch.keep(
+        described.where("kind = 0").select(F.col("key").alias("fp"), "n", "sizes")
+        .join(in_columns, "fp", "left_semi").dropDuplicates(["fp"])
     )
-    links = scratch.keep(linked(docs, stars, text, k, similarity))
-    label = components(spark, links, scratch)
 
-    placed = columns.join(label, columns.fp == label.node, "left").select(
-        "h", "fp", "n", "at", F.coalesce("component", "fp").alias("part"))
-    placed = scratch.keep(placed)
-    apart = placed.groupBy("h").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("h")
-    open_ = placed.join(apart, "h", "left_semi")
-    left = open_.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
-    right = open_.select("h", *(F.col(c).alias(f"b_{c}") for c in ("fp", "n", "at", "part")))
-    rest = (
-        left.join(right, (left.h == right.h) & (F.col("a_fp") < F.col("b_fp")) & (F.col("a_part") != F.col("b_part"))
-                  & possible("a_", "b_", similarity))
-        .select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b")).distinct()
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    def multiplied(pairs: DataFrame) -> DataFrame:
+        close = scratch.keep(within_bounds(pairs, sizes, similarity))
+        return scratch.keep(linked(docs, close, text, k, similarity)) if not close.isEmpty() else close
+
+    tried = scratch.keep(
+        columns.where("fp <> c_fp").where(possible("", "c_", similarity))
+        .select(F.least("c_fp", "fp").alias("a"), F.greatest("c_fp", "fp").alias("b")).distinct()
     )
-    rest = scratch.keep(rest)
-    if not rest.isEmpty():
-        more = scratch.keep(linked(docs, rest, text, k, similarity))
+    links = multiplied(tried)
+    label = components(spark, links, scratch)
+    open_ = columns.select("h", "fp", "n", "at")
+    for round_ in range(len(CHOSEN) + 1):
+        placed = scratch.keep(open_.join(label, F.col("fp") == F.col("node"), "left").select(
+            "h", "fp", "n", "at", F.coalesce("component", "fp").alias("part")))
+        apart = placed.groupBy("h").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("h")
+        open_ = scratch.keep(placed.join(apart, "h", "left_semi"))
+        right = open_.select("h", *(F.col(c).alias(f"b_{c}") for c in ("fp", "n", "at", "part")))
+        if round_ < len(CHOSEN):
+            by_hash = Window.partitionBy("h").orderBy(F.xxhash64(F.lit(round_), "h", "fp"))
+            chosen = open_.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= CHOSEN[round_])
+            left = chosen.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
+            once = F.col("a_fp") != F.col("b_fp")
+        else:
+            left = open_.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
+            once = F.col("a_fp") < F.col("b_fp")
+        pairs = scratch.keep(
+            left.join(right, (left.h == right.h) & once & (F.col("a_part") != F.col("b_part")) & possible("a_", "b_", similarity))
+            .select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
+            .join(tried, ["a", "b"], "left_anti")
+        )
+        open_ = open_.drop("part")
+        if pairs.isEmpty():
+            continue
+        tried = tried.union(pairs)
+        more = multiplied(pairs)
         if not more.isEmpty():
-            label = components(spark, links.union(more), scratch)
+            links = links.union(more)
+            label = components(spark, links, scratch)
 
     classes = rows.where("fp is not null").groupBy("fp").agg(F.min("id").alias("least"))
     labelled = classes.join(label, classes.fp == label.node, "left").select(
