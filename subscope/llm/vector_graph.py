@@ -2,17 +2,19 @@
 
 1. Vectors are normalised in double precision; equal ones become one node with a multiplicity.
 2. Nodes are dealt to overlapping shards: each to the ``overlap`` nearest of the centres of a
-   spherical k-means on a bounded sample. A shard above ``SHARD_MOST`` nodes is dealt on by hash,
-   each node to two neighbouring parts, so that no task holds an unbounded group.
+   spherical k-means on a bounded sample. A shard above ``SHARD_MOST`` nodes is dealt on to the two
+   nearest of centres of its own, level by level, so that no task holds an unbounded group. Where
+   nearness does not cut a shard, its nodes are dealt so that every two meet in some part.
 3. Within a shard each node is joined to the robustly pruned list of its nearest nodes and some
    random ones (a near node hides those it is closer to by the factor ``ALPHA``), both ways.
 4. The adjacency lists of all shards are united.
 5. Every node is searched in its shards on the united graph: greedily from the shard's medoid, then
    expanding from everything within the range until nothing new is within it. Neighbours that lie
    in other shards are carried on by joins, round by round.
-6. Recall is audited: a bounded, hash-chosen set of nodes is compared with all vectors by brute
-   force. Below ``RECALL`` the graph is built again with more overlap, in the last resort of all
-   centres' nearest ``MOST_OVERLAP``. Every link is verified by its cosine in double precision.
+6. Recall is audited: hash-chosen nodes, more of them until enough have links, are compared with
+   all vectors by brute force. Below ``RECALL`` the graph is built again with more overlap, up to
+   the nearest ``MOST_OVERLAP`` centres; if that does not do, all vectors are compared with all,
+   chunk by chunk. Every link is verified by its cosine in double precision.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing and keep a row; vectors of different length never link; repeated rows link like copies; a
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.llm.common import Scratch, components
+from subscope.llm.common import Scratch, components, mix
 
 COSINE = 0.95
 SAMPLE = 8192
@@ -39,8 +41,14 @@ SHARD_SIZE, SHARD_MOST = 700, 2500
 NEAR, RANDOM, DEGREE, ALPHA = 40, 12, 20, 1.2
 BEAM = 12
 SLACK = 0.03
-AUDIT, RECALL = 64, 0.95
+#: Nodes of a shard dealt on that each of its centres should get, centres of one step, and the share of its
+#: shard above which a part counts as not cut.
+PART_SIZE, STEP_CENTRES, UNCUT = SHARD_MOST // 2, 1 << 16, 0.5
+#: Audits ask so many nodes, the larger numbers only while fewer than AUDIT_LINKED of them have links.
+AUDIT, AUDIT_LINKED, RECALL = (256, 2048, 16384), 100, 0.95
 MOST_OVERLAP = 5
+#: Nodes compared with all others in one pass, and rows of them multiplied at once.
+CHUNK, CHUNK_ROWS = 4096, 1024
 
 
 def unit_rows(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -70,10 +78,8 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.stack([np.frombuffer(x.as_py(), np.float64) for x in column])
 
 
-def centres_of(nodes: DataFrame, count: int) -> np.ndarray:
-    """Spherical k-means on the ``SAMPLE`` nodes with the least hash."""
-    sample = nodes.select("unit").orderBy(F.xxhash64("unit"), "unit").limit(SAMPLE).toArrow()
-    x = matrix(sample.column("unit"))
+def k_means(x: np.ndarray, count: int) -> np.ndarray:
+    """Centres of a spherical k-means."""
     k = min(count, len(x))
     centres = x[:: max(1, len(x) // k)][:k].copy()
     for _ in range(6):
@@ -86,6 +92,12 @@ def centres_of(nodes: DataFrame, count: int) -> np.ndarray:
     return centres
 
 
+def centres_of(nodes: DataFrame, count: int) -> np.ndarray:
+    """Centres of the ``SAMPLE`` nodes with the least hash."""
+    sample = nodes.select("unit").orderBy(F.xxhash64("unit"), "unit").limit(SAMPLE).toArrow()
+    return k_means(matrix(sample.column("unit")), count)
+
+
 def deal(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
     """(shard, node, unit): each node once for each of its nearest centres."""
     shared = nodes.sparkSession.sparkContext.broadcast(centres)
@@ -104,15 +116,135 @@ def deal(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
     return nodes.select("node", "unit").mapInArrow(run, "shard long, node long, unit binary")
 
 
-def split_large(dealt: DataFrame) -> DataFrame:
-    """Shards above the bound dealt on by hash, each node to two neighbouring parts; shard becomes a pair."""
-    large = {r.shard: -(-r["count"] // (SHARD_MOST // 2)) for r in dealt.groupBy("shard").count().where(
-        F.col("count") > SHARD_MOST).collect()}  # at most one row per centre
-    if not large:
-        return dealt.withColumn("part", F.lit(0))
-    parts = F.coalesce(*(F.when(F.col("shard") == s, F.lit(n)) for s, n in large.items()), F.lit(1))
-    first = F.pmod(F.xxhash64("node"), parts)
-    return dealt.withColumn("part", F.explode(F.when(parts > 1, F.array(first, F.pmod(first + 1, parts))).otherwise(F.array(F.lit(0).cast("long"))))).withColumn("part", F.col("part").cast("int"))
+def parts_of(size: int) -> int:
+    return -(-size // PART_SIZE)
+
+
+def own_centres(dealt: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
+    """Centres of each of the given shards, from a hash-chosen sample of bounded size."""
+    counts = {s: min(CENTRES, 2 * parts_of(n)) for s, n in sizes.items()}
+    rates = {s: min(1.0, min(SAMPLE, 32 * counts[s]) / n) for s, n in sizes.items()}
+    shared = dealt.sparkSession.sparkContext.broadcast((counts, rates))
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rates_ = shared.value[1]
+        for batch in batches:
+            at = mix(batch.column(1).to_numpy().view(np.uint64)) / 2.0**64
+            rate = np.array([rates_.get(s, 0.0) for s in batch.column(0).to_pylist()])
+            yield batch.filter(pa.array(at < rate))
+
+    def fit(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        x = matrix(table.column("unit"))[np.argsort(table.column("node").to_numpy())]
+        return pa.table({"shard": [shard], "centres": [k_means(x, shared.value[0][shard]).tobytes()]})
+
+    rows = (
+        dealt.select("shard", "node", "unit").mapInArrow(sample, "shard long, node long, unit binary")
+        .groupBy("shard").applyInArrow(fit, "shard long, centres binary").collect()  # at most STEP_CENTRES or one shard's
+    )
+    dims = len(dealt.select("unit").first().unit) // 8
+    return {r.shard: np.frombuffer(r.centres, np.float64).reshape(-1, dims) for r in rows}
+
+
+def split_large(dealt: DataFrame, scratch: Scratch) -> DataFrame:
+    """Shards above the bound dealt on, each node to the two nearest of its shard's own centres, until all parts
+    are below it; (shard, part, node, unit). Parts that stay about as large as their shard are dealt by hash into
+    blocks, and every two blocks make a part."""
+    context = dealt.sparkSession.sparkContext
+    out: list[DataFrame] = []
+    level, next_shard = dealt, CENTRES
+    parent: dict[int, int] = {}  # of shards dealt on: first part to size
+    firsts = np.empty(0, np.int64)
+    while True:
+        sizes = {r.shard: r["count"] for r in level.groupBy("shard").count().where(F.col("count") > SHARD_MOST).collect()}
+        if not sizes:
+            out.append(level.withColumn("part", F.lit(0).cast("long")))
+            break
+        before = {s: parent[int(firsts[np.searchsorted(firsts, s, side="right") - 1])] if len(firsts) else None for s in sizes}
+        uncut = {s: n for s, n in sizes.items() if before[s] is not None and n > UNCUT * before[s]}
+        todo = {s: n for s, n in sizes.items() if s not in uncut}
+        out.append(_chosen(level, np.array(sorted(sizes)), False).withColumn("part", F.lit(0).cast("long")))
+        if uncut:
+            out.append(scratch.keep(in_block_pairs(level, uncut)))
+        if not todo:
+            break
+        parent, deeper, step, held = {}, [], {}, 0
+        steps = []
+        for s, n in sorted(todo.items()):
+            step[s] = n
+            held += min(CENTRES, 2 * parts_of(n))
+            if held >= STEP_CENTRES:
+                steps.append(step)
+                step, held = {}, 0
+        for step in [*steps, step] if step else steps:
+            centres = own_centres(level, step)
+            plan = {}
+            for s in sorted(step):
+                plan[s] = (next_shard, centres[s])
+                parent[next_shard] = step[s]
+                next_shard += max(len(centres[s]), 1)
+            deeper.append(scratch.keep(_deal_on(level, context.broadcast(plan))))
+        firsts = np.array(sorted(parent), np.int64)
+        level = deeper[0]
+        for more in deeper[1:]:
+            level = level.union(more)
+    whole = out[0].select("shard", "part", "node", "unit")
+    for more in out[1:]:
+        whole = whole.union(more.select("shard", "part", "node", "unit"))
+    return whole
+
+
+def _chosen(dealt: DataFrame, shards: np.ndarray, wanted: bool) -> DataFrame:
+    shared = dealt.sparkSession.sparkContext.broadcast(shards)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), shared.value) == wanted))
+
+    return dealt.select("shard", "node", "unit").mapInArrow(run, "shard long, node long, unit binary")
+
+
+def _deal_on(dealt: DataFrame, shared) -> DataFrame:
+    """The nodes of the planned shards, each once for each of the two nearest of its shard's centres."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
+        for batch in batches:
+            shard = batch.column(0).to_numpy()
+            for own in np.unique(shard).tolist():
+                if own not in plan:
+                    continue
+                first, centres = plan[own]
+                some = np.flatnonzero(shard == own)
+                units = batch.column(2).take(pa.array(some))
+                near = np.argsort(-(matrix(units) @ centres.T), axis=1, kind="stable")[:, :2]
+                rows = pa.array(np.repeat(some, near.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first + near.reshape(-1).astype(np.int64)), batch.column(1).take(rows),
+                     batch.column(2).take(rows)], names=["shard", "node", "unit"])
+
+    return dealt.select("shard", "node", "unit").mapInArrow(run, "shard long, node long, unit binary")
+
+
+def in_block_pairs(dealt: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """The nodes of the given shards with a part for every pair of blocks their block is in."""
+    shared = dealt.sparkSession.sparkContext.broadcast({s: parts_of(n) for s, n in sizes.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = shared.value
+        for batch in batches:
+            hashes = mix(batch.column(1).to_numpy().view(np.uint64))
+            for row, own in enumerate(batch.column(0).to_pylist()):
+                if (p := blocks.get(own, 0)) < 2:
+                    continue
+                block = int(hashes[row] % np.uint64(p))
+                other = np.delete(np.arange(p), block)
+                rows = pa.array(np.full(p - 1, row))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), pa.array(np.minimum(other, block) * p + np.maximum(other, block)),
+                     batch.column(1).take(rows), batch.column(2).take(rows)], names=["shard", "part", "node", "unit"])
+
+    return dealt.select("shard", "node", "unit").mapInArrow(run, "shard long, part long, node long, unit binary")
 
 
 def robust_prune(similar: np.ndarray, candidates: np.ndarray) -> list[np.ndarray]:
@@ -191,7 +323,7 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], start: int, query: np.n
 def find_links(nodes: DataFrame, scratch: Scratch, cosine: float, overlap: int, centres: np.ndarray) -> DataFrame:
     """(a, b) with a < b: the verified links between nodes."""
     spark = nodes.sparkSession
-    members = scratch.keep(split_large(scratch.keep(deal(nodes, centres, overlap))))
+    members = scratch.keep(split_large(scratch.keep(deal(nodes, centres, overlap)), scratch))
 
     def build(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
@@ -265,31 +397,51 @@ def verified(pairs: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
     )
 
 
-def audit(nodes: DataFrame, links: DataFrame, cosine: float) -> float:
-    """Share of the true links of ``AUDIT`` nodes that were found; half of the nodes have links, if so many have."""
-    linked = links.select("a").union(links.select("b")).distinct().orderBy(F.xxhash64("a")).limit(AUDIT // 2)
-    asked = (
-        nodes.join(linked.withColumnRenamed("a", "node"), "node", "left_semi").select("node", "unit")
-        .union(nodes.orderBy(F.xxhash64("node")).select("node", "unit").limit(AUDIT // 2)).toArrow()
-    )
-    ids = asked.column("node").to_numpy()
-    shared = nodes.sparkSession.sparkContext.broadcast((ids, matrix(asked.column("unit"))))
+def beside(nodes: DataFrame, asked: pa.Table, cosine: float, once: bool) -> DataFrame:
+    """(a, b) of the asked nodes and all others within the cosine; with ``once`` only where a < b."""
+    shared = nodes.sparkSession.sparkContext.broadcast(
+        (asked.column("node").to_numpy(), matrix(asked.column("unit"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, x = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            node = batch.column(0).to_numpy()
-            row, col = np.nonzero(matrix(batch.column(1)) @ x.T >= cosine)
-            keep = node[row] != own[col]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[col][keep]), pa.array(node[row][keep])], names=["a", "b"])
+            for low in range(0, batch.num_rows, CHUNK_ROWS):
+                part = batch.slice(low, CHUNK_ROWS)
+                node = part.column(0).to_numpy()
+                row, col = np.nonzero(matrix(part.column(1)) @ x.T >= cosine)
+                keep = own[col] < node[row] if once else own[col] != node[row]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[col][keep]), pa.array(node[row][keep])], names=["a", "b"])
+
+    return nodes.select("node", "unit").mapInArrow(run, "a long, b long")
+
+
+def audit(nodes: DataFrame, links: DataFrame, cosine: float, n: int) -> float:
+    """Mean share of its true links that were found, over hash-chosen nodes that have any."""
+    both = links.select("a", "b").union(links.select("b", "a")).withColumn("got", F.lit(1))
+    linked, share = 0, None
+    for size in AUDIT:
+        asked = nodes.orderBy(F.xxhash64(F.lit("audit"), "node"), "node").select("node", "unit").limit(size).toArrow()
+        per_node = beside(nodes, asked, cosine, False).join(both, ["a", "b"], "left").groupBy("a").agg(
+            (F.count("got") / F.count("*")).alias("share"))
+        linked, share = per_node.agg(F.count("*"), F.avg("share")).first()
+        if linked >= AUDIT_LINKED or size >= n:
+            break
+    return share if linked else 1.0
+
 
-    true = ordered(nodes.select("node", "unit").mapInArrow(run, "a long, b long"))
-    total, got = (
-        true.join(links.withColumn("got", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("got")).first())
-    return got / total if total else 1.0
+def all_links(nodes: DataFrame, scratch: Scratch, cosine: float, n: int) -> DataFrame:
+    """(a, b) with a < b of all pairs within the cosine: every chunk of nodes compared with all nodes."""
+    chunks = -(-n // CHUNK)
+    dealt = scratch.keep(nodes.select(
+        "node", "unit", F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.lit(chunks)).alias("chunk")))
+    links: DataFrame | None = None
+    for chunk in range(chunks):
+        asked = dealt.where(F.col("chunk") == chunk).toArrow()
+        if asked.num_rows:
+            own = scratch.keep(beside(dealt, asked, cosine, True))
+            links = own if links is None else links.union(own)
+    return links
 
 
 def near_duplicates(
@@ -310,8 +462,11 @@ def near_duplicates(
         centres = centres_of(nodes, min(CENTRES, -(-n // SHARD_SIZE)))
         for overlap in range(2, MOST_OVERLAP + 1):
             own = find_links(nodes, scratch, cosine, overlap, centres)
-            if overlap >= len(centres) or audit(nodes, own, cosine) >= RECALL:
+            recall = audit(nodes, own, cosine, n)
+            if overlap >= len(centres) or recall >= RECALL:
                 break
+        if recall < RECALL:
+            own = all_links(nodes, scratch, cosine, n)
         links = own if links is None else links.union(own)
     if links is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),

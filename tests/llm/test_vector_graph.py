@@ -82,3 +82,37 @@ def test_pruned_lists_reach_every_row():
     for i in range(0, len(x), 7):
         got = set(v.range_search(x, lists, start, x[i], 0.95).tolist())
         assert got == set(np.flatnonzero(x @ x[i] >= 0.95).tolist())
+
+
+def test_large_shard_is_dealt_on_by_nearness(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(300, 16))
+    rows = [(int(i), (base[i // 4] + rng.normal(size=16) * 0.03).tolist()) for i in rng.permutation(1200)]
+    monkeypatch.setattr(v, "SHARD_MOST", 60)
+    monkeypatch.setattr(v, "PART_SIZE", 30)
+    monkeypatch.setattr(v, "all_links", None)  # the graph itself must reach the recall
+    monkeypatch.setattr(v, "STEP_CENTRES", 1)
+    monkeypatch.setattr(v, "SHARD_SIZE", 10_000)  # one shard of all
+    check(spark, rows)
+
+
+def test_parts_that_nearness_does_not_cut_and_exact_comparison(spark, clusters, monkeypatch):
+    monkeypatch.setattr(v, "SHARD_MOST", 60)
+    monkeypatch.setattr(v, "PART_SIZE", 30)
+    monkeypatch.setattr(v, "SHARD_SIZE", 10_000)
+    monkeypatch.setattr(v, "UNCUT", 0.0)
+    got, want = check(spark, clusters)
+    monkeypatch.setattr(v, "RECALL", 2.0)
+    monkeypatch.setattr(v, "CHUNK", 100)
+    got, want = check(spark, clusters, 1.0)
+    assert got == want
+
+
+def test_audit_asks_nodes_without_found_links(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(150, 16))
+    rows = [(i, (base[i // 2] + rng.normal(size=16) * 0.01).tolist()) for i in range(300)]
+    units = v.unit_rows(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    nodes = units.select(v.F.col("id").alias("node"), "unit")
+    half = spark.createDataFrame([(i, i + 1) for i in range(0, 150, 2)], "a long, b long")
+    assert 0.3 < v.audit(nodes, half, 0.95, 300) < 0.7
