@@ -353,9 +353,17 @@ def similarity_components(
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the least of their component; a null id is a group of its own."""
+    """One row of each component: that with the least id, null ids last, and one of rows with the same id.
+    A row without shingles is a component of its own."""
+    scratch = Scratch(docs.sparkSession)
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = scratch.keep(docs.withColumn(key, F.monotonically_increasing_id()))  # written, so that a row keeps its key
+    group = similarity_components(keyed, key, text).select(F.col(key).alias("k"), F.col("component_id").alias("part"))
     keep = (
-        similarity_components(docs, id_col, text).where(F.col("component_id") == F.col(id_col))
-        .select(F.col(id_col).alias("k")).distinct()
+        group.join(keyed.select(F.col(key), F.col(id_col).alias("id")), F.col("k") == F.col(key))
+        .groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k")).alias("least"))
+        .select("least.k")
     )
-    return docs.alias("d").join(keep.alias("k"), F.expr(f"d.`{id_col}` <=> k.k"), "left_semi")
+    return keyed.join(keep, F.col(key) == F.col("k"), "left_semi").drop(key)

@@ -86,3 +86,18 @@ def test_odd_tables(spark, odd):
     kept = nj.one_of_each_group(odd)
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 4, 5, 6, 7, 8, 10, 11]
+
+
+def test_one_row_of_each_group_with_null_ids_and_repeated_rows(spark, odd):
+    kept = nj.one_of_each_group(odd)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 2, 3, 4, 5, 6, 7, 8, 10, 11, None], key=str)
+    rows = [
+        (None, "a clean text without an id that stands alone", 0), (None, "copies that all have no id at all", 1),
+        (None, "copies that all have no id at all", 1), (5, "one row that comes twice in the table", 2),
+        (5, "one row that comes twice in the table", 2), (7, "a copy with an id and one without", 3),
+        (None, "a copy with an id and one without", 3), (5, "another text under an id used before", 4), (None, None, 5), (None, None, 6),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row_key int").repartition(4)
+    got = nj.one_of_each_group(frame)
+    assert got.columns == frame.columns
+    assert sorted((r.row_key, r.doc_id) for r in got.collect()) == [(0, None), (1, None), (2, 5), (3, 7), (4, 5), (5, None), (6, None)]
