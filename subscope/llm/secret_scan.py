@@ -5,8 +5,8 @@ characters whose encoding can be inferred (hex, base32, base64) is tested agains
 "uniformly random letters of that alphabet": chi-squared uniformity, runs about the middle of the
 alphabet, lag-1 serial correlation; Fisher's sum combines the three. Random tokens have uniform
 p-values, words and identifiers pile up near zero. Per encoding and length class the share of
-random tokens is read off the upper half of the p-values (one histogram over all documents, of
-fixed size), and the lowest cut is taken at which the estimated share of ordinary tokens among
+random tokens is read off the upper half of the p-values (one histogram of fixed size over the
+distinct tokens of all documents, so that copies count once), and the lowest cut is taken at which the estimated share of ordinary tokens among
 the accepted ones stays below ``fdr``.
 
 Defined cases: null or empty text gives no spans; a null ``doc_id`` is passed on; repeated rows
@@ -44,6 +44,8 @@ FDR = 0.1
 BINS = 50
 #: Upper ends of the length classes.
 LENGTHS = (32, 48, 96)
+#: Tokens a task remembers, so that most copies stay in it.
+TOLD = 200_000
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -177,22 +179,30 @@ def _scan(column: pa.Array) -> Iterator[tuple[str, list[tuple[int, int, int]], l
 
 
 def fit_cuts(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[int, int]:
-    """The lowest accepted p-value bin of each cell, from a histogram over all documents."""
+    """The lowest accepted p-value bin of each cell, from a histogram over the distinct tokens of all documents."""
 
-    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(ENCODINGS) * (len(LENGTHS) + 1), BINS), np.int64)
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[bytes] = set()
         for batch in batches:
-            for _, _, tested in _scan(batch.column(0)):
-                for _, _, cell, p in tested:
-                    counts[cell, min(int(p * BINS), BINS - 1)] += 1
-        cell, bin_ = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell), pa.array(bin_), pa.array(counts[cell, bin_])], names=["cell", "bin", "n"]
-        )
+            token, cells, bins = [], [], []
+            for whole, _, tested in _scan(batch.column(0)):
+                for start, end, cell, p in tested:
+                    digest = hashlib.blake2b(whole[start:end].encode(), digest_size=16).digest()
+                    if digest in told:
+                        continue
+                    told.add(digest)
+                    token.append(digest)
+                    cells.append(cell)
+                    bins.append(min(int(p * BINS), BINS - 1))
+            if len(told) > TOLD:
+                told.clear()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token, pa.binary()), pa.array(cells, pa.int64()), pa.array(bins, pa.int64())],
+                names=["token", "cell", "bin"])
 
     rows = (
-        docs.select(F.col(text)).mapInArrow(histogram, "cell long, bin long, n long")
-        .groupBy("cell", "bin").agg(F.sum("n").alias("n")).collect()  # at most cells x bins rows
+        docs.select(F.col(text).cast("string")).mapInArrow(distinct, "token binary, cell long, bin long").distinct()
+        .groupBy("cell", "bin").agg(F.count("*").alias("n")).collect()  # at most cells x bins rows
     )
     counts = np.zeros((len(ENCODINGS) * (len(LENGTHS) + 1), BINS))
     for cell, bin_, n in rows:

@@ -70,3 +70,15 @@ def test_redaction_keeps_columns_and_rows(spark, odd):
     assert out.columns == odd.columns and out.count() == odd.count()
     one = spark.createDataFrame([(1, "a token=abcdef0123 b", "x"), (2, None, "y")], "doc_id long, text string, extra string")
     assert [r.text for r in s.redact_secrets(one).orderBy("doc_id").collect()] == ["a [SECRET] b", None]
+
+
+def test_a_copied_token_does_not_decide_the_cut(spark):
+    rng = random.Random(5)
+    name = lambda: "/".join(rng.choice(("usr", "Lib2", "share", "Doc1", "nation")) for _ in range(9))
+    names = sorted({n for n in (name() for _ in range(900)) if 32 < len(n) <= 48})[:300]
+    copied = next(t for t in (base64.b64encode(rng.randbytes(33)).decode() for _ in range(99)) if s.battery(t, "base64") > 0.6)
+    assert len(names) == 300 and len(copied) == 44
+    rows = [(i, f"see {names[i % 300]} and {copied} here") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert s.fit_cuts(docs) == s.fit_cuts(docs.limit(300).unionAll(docs)) and 0 not in s.fit_cuts(docs).values()
+    assert all(r.n_random <= 1 for r in s.scan_secrets(docs).collect())
