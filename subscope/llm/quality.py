@@ -1,7 +1,7 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model.
 
 The model predicts each byte of a text from the ``ORDER - 1`` before it. It is trained on trusted
-documents (label quality 1 in all label rows); a quarter of them is held out. Counting and
+documents (label quality 1 in all label rows); the first of ``FOLDS`` folds of them is held out. Counting and
 smoothing are DataFrame work: n-gram counts are summed from partial sums of the tasks; the counts of
 order k are the numbers of distinct bytes before its n-grams of order k + 1; discounts come from the
 counts of counts; probabilities come from joining the counts of an order with those of its contexts
@@ -9,13 +9,14 @@ and with the next lower order.
 
 The model is then cut into shards by the last two bytes of the context, each of bounded size, and
 each shard is joined to the documents in one pass over them: it is broadcast, which its bound
-allows, and the partial log-likelihoods of a document are added. A document is rejected when its
-log-perplexity per byte exceeds the ``QUANTILE`` of the held-out trusted documents of its language
-(of all languages where there are fewer than ``MIN_HELD``). Texts shorter than a few hundred bytes
-are drawn towards the median of their language, by as much as ``PRIOR`` bytes weigh.
+allows, and the partial log-likelihoods of a document are added. So that every language has a cut of its own
+however few trusted documents it has, these are cross-fitted: each fold is scored by a model of the
+other folds. A document is rejected when its log-perplexity per byte exceeds the ``QUANTILE`` of the
+trusted documents of its language. Texts shorter than a few hundred bytes are drawn towards the
+median of their language, by as much as ``PRIOR`` bytes weigh.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null language is a language
-of its own; without trusted documents nothing but empty texts is rejected; rows with the same id are
+of its own; in a language without trusted documents nothing but empty texts is rejected; rows with the same id are
 judged together; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,7 +33,7 @@ from subscope.llm.common import MIX_1, Scratch, pieces, strings
 
 ORDER = 5
 QUANTILE = 0.995
-MIN_HELD = 50
+FOLDS = 4
 PRIOR = 100.0
 #: Rows of a shard: 16 bytes each, so 64 MiB; a single shard key can hold 2 ** 24 at most.
 SHARD_ROWS = 1 << 22
@@ -275,7 +276,7 @@ def trusted_ids(labels: DataFrame, label_id: str, quality: str) -> DataFrame:
     return (
         labels.where(F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("trusted"))
         .agg(F.min(F.coalesce(F.col(quality).cast("int"), F.lit(0))).alias("q")).where("q = 1").select("trusted")
-        .withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "trusted"), F.lit(4)) == 0)
+        .withColumn("fold", F.pmod(F.xxhash64(F.lit("held"), "trusted"), F.lit(FOLDS)).cast("int"))
     )
 
 
@@ -287,38 +288,42 @@ def classify(
     spark = docs.sparkSession
     scratch = Scratch(spark)
     ids = scratch.keep(trusted_ids(labels, label_id, quality))
-    fit_ids = ids.where("not held").select("trusted")
-    if fit_ids.count() <= BROADCAST_IDS:
-        fit_ids = F.broadcast(fit_ids)
-    texts = docs.join(fit_ids, docs[id_col] == F.col("trusted"), "left_semi").select(F.col(text).cast("string"))
-    top = scratch.keep(count_grams(texts))
-    model = smooth(top, scratch)
-    scores = scratch.keep(
-        log_likelihoods(docs.select(F.col(id_col).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")),
-                        model, "id", "text", ["lang"])
-    )
-    scores = scores.groupBy("id").agg(
-        F.min("lang").alias("lang"), F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
+    own = docs.select(F.col(id_col).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    joined = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = scratch.keep(own.join(joined, F.col("id") == F.col("trusted")).select("id", "lang", "text", "fold"))
+    tops = [scratch.keep(count_grams(texts.where(F.col("fold") == fold).select("text"))) for fold in range(FOLDS)]
+    parts = []
+    for fold in range(FOLDS):
+        others = [top for i, top in enumerate(tops) if i != fold]
+        rows = others[0]
+        for more in others[1:]:
+            rows = rows.union(more)
+        model = smooth(scratch.keep(rows.groupBy("g").agg(F.sum("c").alias("c"))), scratch)
+        if fold == 0:
+            scores = scratch.keep(log_likelihoods(own, model, "id", "text", ["lang"]))
+            parts.append(scores.join(ids.where("fold = 0"), F.col("id") == F.col("trusted")).select(*scores.columns))
+        else:
+            parts.append(log_likelihoods(texts.where(F.col("fold") == fold), model, "id", "text", ["lang"]))
+    fitted = parts[0]
+    for part in parts[1:]:
+        fitted = fitted.union(part)
+
+    def per_id(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("id").agg(
+            F.min("lang").alias("lang"), F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
+
+    fitted = scratch.keep(per_id(fitted).where("n_bytes > 0"))
     rate = -F.col("log_p") / F.col("n_bytes")
-    held = scores.join(ids.where("held"), F.col("id") == F.col("trusted")).where("n_bytes > 0")
-    middle = held.groupBy(F.col("lang").alias("of")).agg(F.percentile_approx(rate, 0.5, 10000).alias("middle"), F.count("*").alias("n"))
-    overall = held.agg(F.percentile_approx(rate, 0.5, 10000).alias("all_middle"))
-    drawn = (-F.col("log_p") + PRIOR * F.col("m")) / (F.col("n_bytes") + PRIOR)
-    centred = (
-        scores.join(F.broadcast(overall)).join(middle, F.expr("lang <=> of"), "left")
-        .select("id", "lang", "log_p", "n_bytes",
-                F.when(F.col("n") >= MIN_HELD, F.col("middle")).otherwise(F.col("all_middle")).alias("m"))
-        .withColumn("log_perplexity", F.when(F.col("n_bytes") > 0, F.coalesce(drawn, rate)))
+    drawn = (-F.col("log_p") + PRIOR * F.col("middle")) / (F.col("n_bytes") + PRIOR)
+    middles = fitted.groupBy(F.col("lang").alias("of")).agg(F.percentile_approx(rate, 0.5, 10000).alias("middle"))
+    cuts = scratch.keep(
+        fitted.join(middles, F.expr("lang <=> of")).groupBy("of").agg(
+            F.first("middle").alias("middle"), F.percentile_approx(drawn, quantile, 10000).alias("cut"))
     )
-    centred = scratch.keep(centred.select("id", "lang", "n_bytes", "log_perplexity"))
-    judged = centred.join(ids.where("held"), F.col("id") == F.col("trusted")).where("n_bytes > 0")
-    value = F.percentile_approx("log_perplexity", quantile, 10000)
-    cuts = judged.groupBy(F.col("lang").alias("cut_lang")).agg(value.alias("own_cut"), F.count("*").alias("n"))
-    whole = judged.agg(value.alias("all_cut"))
-    cut = F.when(F.col("n") >= MIN_HELD, F.col("own_cut")).otherwise(F.col("all_cut"))
     return (
-        centred.join(F.broadcast(whole)).join(cuts, F.expr("lang <=> cut_lang"), "left")
-        .select(F.col("id").alias(id_col), "lang", "n_bytes", "log_perplexity", cut.alias("cut"))
+        per_id(scores).join(cuts, F.expr("lang <=> of"), "left")
+        .select(F.col("id").alias(id_col), "lang", "n_bytes",
+                F.when(F.col("n_bytes") > 0, F.coalesce(drawn, rate)).alias("log_perplexity"), "cut")
         .withColumn("kept", (F.col("n_bytes") > 0) & (F.col("cut").isNull() | (F.col("log_perplexity") <= F.col("cut"))))
     )
 

@@ -90,3 +90,19 @@ def test_odd_tables(spark, odd, sf_dir):
     assert q.classify(odd.limit(0), labels).count() == 0
     kept = q.accepted_documents(odd, labels.limit(0))
     assert kept.columns == odd.columns and kept.count() == odd.where("length(text) > 0").count()
+
+
+def test_a_rare_language_is_judged_by_its_own_cut(spark):
+    rng = random.Random(7)
+    say = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(i, say("ab ", 300), "big") for i in range(300)]
+    rare = "klmnopqrstuvwxyzäöü KLMNOPQRSTUVWXYZ"
+    rows += [(1000 + i, say(rare, 300), "rare") for i in range(60)] + [(2000 + i, say(rare, 300), "unknown") for i in range(5)]
+    labels = [(i, 1, 0) for i in range(240)] + [(1000 + i, 1, 0) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = q.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    cut = {r.lang: r.cut for r in got}
+    assert cut["rare"] > cut["big"] + 1 and cut["unknown"] is None
+    assert all(r.kept for r in got if r.lang == "unknown")
+    clean = [r.kept for r in got if r.lang == "rare" and r.doc_id >= 1024]
+    assert sum(clean) >= 0.8 * len(clean)
