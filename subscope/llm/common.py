@@ -247,6 +247,24 @@ def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 6] >> (at & 63).astype(np.uint64) & U64(1)).astype(bool)
 
 
+# ---------------------------------------------------------------- lists of bounded size
+
+
+def most_frequent(counts: DataFrame, limit: int) -> tuple[pa.Table, bool]:
+    """At most ``limit`` rows of ``counts``, no other row has a larger ``n``; and whether there are others.
+
+    The bins by the logarithm of ``n`` are a few hundred rows whatever there is; the rows then come unsorted.
+    """
+    bin_ = F.floor(16 * F.log2("n")).cast("long")
+    bins = counts.groupBy(bin_.alias("bin")).count().orderBy(F.desc("bin")).toArrow()
+    sums = np.cumsum(bins.column("count").to_numpy())
+    fit = int(np.searchsorted(sums, limit, side="right"))
+    least = int(bins.column("bin")[fit - 1].as_py()) if fit else 1 << 20
+    keys = [c for c in counts.columns if c != "n"]
+    rows = counts.where(bin_ >= least).toArrow()
+    return rows.sort_by([("n", "descending"), *((c, "ascending") for c in keys)]), fit < len(sums)
+
+
 # ---------------------------------------------------------------- components
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subscope.llm import (
-    bpe, decontaminate, html_text, ngram_join, quality, secret_scan, suffix_dedup, token_files, url_filter, vector_graph,
+    align, bpe, collocations, decontaminate, entropy_mix, html_text, ngram_join, quality, secret_scan, suffix_dedup,
+    token_files, url_filter, vector_graph,
 )
 from subscope.llm.common import ship
 
@@ -57,7 +58,23 @@ def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_graph.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entropy_mix.balance(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(_read(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_secret_scan, op3_bpe_round_trip, op4_quality, op5_html_text, op6_token_files, op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph)
+    f.__name__: f for f in (
+        op1_suffix_dedup, op2_secret_scan, op3_bpe_round_trip, op4_quality, op5_html_text, op6_token_files,
+        op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph, op11_entropy_mix, op12_align,
+        op13_collocations)
 }
 ORACLE_SQL: dict[str, str] = {}
