@@ -2,21 +2,22 @@
 
 A space after a character that is no white space begins a new token in both tokenizers (A's pre-tokenizer
 starts a piece there; B has no piece with a space inside, which is checked when it is loaded). Texts are cut there
-into *units*; a unit has the same tokens wherever it stands, so a task encodes and aligns each distinct one
-once. A tokenizer without these properties gets its texts whole.
+into *units*; a unit has the same tokens wherever it stands, so a task encodes each distinct one once.
+A tokenizer without these properties gets its texts whole.
 
-1. *Identity map.* For every A id the B id of the same bytes. A group of one A and one B token of equal bytes is
+1. *Groups and links.* Ends of A's and B's tokens are marked on the bytes of about ``RUN`` characters at once: common marks
+   end the groups, and every stretch between two marks is one link. Ids of links are written beside the results.
+2. *Identity map.* For every A id the B id of the same bytes. A group of one A and one B token of equal bytes is
    counted in a vector over A's vocabulary, addressed by the id; so is such a pair inside a larger group.
-2. *Pairs.* Only the other links of irregular groups become (A id, B id, n): summed in the task, then in a
-   shuffle by pair.
-3. *Second pass.* The vector, the highest count of each B id, both bounded by the vocabularies, and the ``LISTED`` most
-   frequent pairs go to all tasks; units get the sums of their links' counts. Links of rarer pairs leave
-   the pass as (pair, n) and are joined with the pair table.
+   Only the other links of irregular groups become (pair, n): summed in the task, then in a shuffle by pair.
+3. *Sums.* The vector, the highest count of each B id, both bounded by the vocabularies, and the ``LISTED`` most
+   frequent pairs go to all tasks, which sum over the links written before. Links of rarer pairs leave
+   as (row, pair, n) and are joined with the pair table.
 
 Defined cases: null and empty texts, and texts whose tokens do not spell the space and the text (U+2581 inside, or a
 normalizer that rewrites) have zeros and an empty digest and count nowhere; repeated rows count again; null
 ids are kept; an empty table gives an empty result; other columns are ignored. Very long texts are cut into runs
-of units; one without a safe space is a unit of its own that no task keeps.
+of units; one without a safe space is a run of its own.
 """
 
 from __future__ import annotations
@@ -32,21 +33,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.llm.bpe import byte_alphabet, default_tokenizer
+from subscope.llm.bpe import _PLAIN, Coder, byte_alphabet, default_tokenizer
 from subscope.llm.common import Scratch, most_frequent
 
 #: Pairs that go to all tasks, at most.
 LISTED = 1 << 20
-#: Units a task keeps, and the characters of a unit it keeps, at most.
-UNITS = 150_000
-KEPT_LENGTH = 400
+#: Bytes of units and ids a task keeps before it starts anew.
+KEPT = 48 << 20
 #: Characters of a run of units.
-RUN = 1 << 20
+RUN = 1 << 19
+#: Links a task holds before it counts them.
+HELD = 3_000_000
 _SPACE = "▁"
 _UNSAFE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 
 
+class Flat:
+    """Byte strings in one array."""
+
+    def __init__(self, parts: list[bytes]):
+        self.lengths = np.array([len(x) for x in parts], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strings of the ids one after another, and where each ends."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.data[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 class Vocabularies:
     """Both tokenizers, the bytes of their ids and the identity map."""
 
@@ -83,10 +100,14 @@ class Vocabularies:
             and rules.add_dummy_prefix and not rules.remove_extra_whitespaces and not rules.precompiled_charsmap
             and not any(_SPACE in t.lstrip(_SPACE) for t in tokens)
         )
+        self.fast = Coder.at(path_a).fast if self.units else None
         self.lone = self.b.piece_to_id(_SPACE)
         usual = {x: i for i, x in reversed(list(enumerate(self.bytes_b))) if self.b.is_byte(i)}
         usual |= {x: i for i, x in reversed(list(enumerate(self.bytes_b))) if not self.b.is_byte(i) and not self.b.is_control(i)}
         self.same = np.array([usual.get(x, -1) for x in self.bytes_a], np.int64)
+        self.flat_a, self.flat_b = Flat(self.bytes_a), Flat(self.bytes_b)
+        self.digits = Flat([f";{i}".encode() for i in range(max(len(self.bytes_a), self.size_b))])
+        self.wide = len(self.bytes_a) * self.size_b >= 1 << 32
 
     @classmethod
     def at(cls, path_a: str, path_b: str) -> Vocabularies:
@@ -95,80 +116,36 @@ class Vocabularies:
             cls._kept[key] = cls(*key)
         return cls._kept[key]
 
-    def tokens(self, units: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """A's and B's ids of units, each with its leading space."""
-        found = self.a.encode_batch(units, add_special_tokens=False)
-        other = self.b.encode([u[1:] for u in units], num_threads=1)
-        for unit, x, y in zip(units, found, other, strict=True):
-            yield x.ids, (y if len(unit) > 1 else [self.lone])
-
-
-def align(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups (A ids, B ids) between common ends, and the links (A id, B id) of overlapping tokens."""
-    groups, links, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        x, y = ends_a[i], ends_b[j]
-        i += x <= y
-        j += y <= x
-        if x == y:
-            groups.append((a[from_i:i], b[from_j:j]))
-            from_i, from_j = i, j
-    return groups, links
-
-
-class Units:
-    """Aligned units by their text; ``lookup`` gives the counts of links in the second pass."""
-
-    def __init__(self, vocabularies: Vocabularies, lookup=None):
-        self.v, self.lookup = vocabularies, lookup
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.group_text: list[str] = []
+    def of_a(self, unit: str) -> bytes:
+        if self.fast and _PLAIN.fullmatch(unit):
+            return np.array(self.fast(unit), "<u4").tobytes()
+        return np.array(self.a.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def of_b(self, units: list[str]) -> Iterator[bytes]:
+        for unit, ids in zip(units, self.b.encode([u[1:] for u in units], num_threads=1), strict=True):
+            yield np.array(ids if len(unit) > 1 else [self.lone], "<u4").tobytes()
+
+
+class Tokens:
+    """The ids of runs of units, each distinct unit encoded once."""
+
+    def __init__(self, vocabularies: Vocabularies):
+        self.v = vocabularies
+        self.a: dict[str, bytes] = {}
+        self.b: dict[str, bytes] = {}
         self.size = 0
-        self.table = np.zeros((64, 7), np.int64)  # ok, n_a, n_b, n_groups, n_links, n_best, count_sum; longer than size
-        self.links: list[np.ndarray] = []
-        self.missing: list[np.ndarray] = []
-
-    def describe(self, unit: str, a: list[int], b: list[int]) -> None:
-        if self.size == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.size += 1
-        raw = unit.encode()
-        parts_a, parts_b = [self.v.bytes_a[x] for x in a], [self.v.bytes_b[x] for x in b]
-        if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-            self.links.append(np.empty(0, np.int64))
-            self.missing.append(self.links[-1])
-            self.group_text.append("")
-            return
-        ends = [np.cumsum([len(x) for x in parts]).tolist() for parts in (parts_a, parts_b)]
-        groups, links = align(a, b, *ends)
-        self.group_text.append(";".join(
-            f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups))
-        pairs = np.array(links, np.int64)
-        codes = pairs[:, 0] * self.v.size_b + pairs[:, 1]
-        best, total, missing = self.lookup(codes) if self.lookup else (0, 0, codes[:0])
-        self.table[self.size - 1] = 1, len(a), len(b), len(groups), len(links), best, total
-        self.links.append(codes)
-        self.missing.append(missing)
-
-    def add(self, units: list[str]) -> list[int]:
-        """The places of units, new ones encoded."""
-        get = self.place.get
-        places = list(map(get, units))
-        if None in places:
-            new = [u for u in dict.fromkeys(units) if u not in self.place]
-            for unit, (a, b) in zip(new, self.v.tokens(new), strict=True):
-                self.place[unit] = self.size
-                self.describe(unit, a, b)
-            places = list(map(get, units))
-        return places
-
-    @property
-    def full(self) -> bool:
-        return self.size >= UNITS
+
+    def of(self, units: list[str]) -> tuple[bytes, bytes]:
+        try:
+            return b"".join(map(self.a.__getitem__, units)), b"".join(map(self.b.__getitem__, units))
+        except KeyError:
+            if self.size > KEPT:
+                self.a, self.b, self.size = {}, {}, 0
+            new = [u for u in dict.fromkeys(units) if u not in self.a]
+            self.a.update(zip(new, map(self.v.of_a, new), strict=True))
+            self.b.update(zip(new, self.v.of_b(new), strict=True))
+            self.size += sum(9 * len(u) + 250 for u in new)
+            return b"".join(map(self.a.__getitem__, units)), b"".join(map(self.b.__getitem__, units))
 
 
 def runs_of(text: str, units: bool) -> Iterator[list[str]]:
@@ -191,137 +168,227 @@ def runs_of(text: str, units: bool) -> Iterator[list[str]]:
         start = end
 
 
-class Aligner:
-    """The alignment of texts, unit by unit."""
+class Aligned:
+    """Some runs side by side: per run whether its tokens spell it, and their numbers, groups and links."""
+
+    def __init__(self, v: Vocabularies, raws: list[bytes], a: list[bytes], b: list[bytes]):
+        self.good = self.spelled(v, raws, a, b)
+        some = np.flatnonzero(self.good).tolist()
+        ids_a, ids_b = (np.frombuffer(b"".join(x[i] for i in some), "<u4").astype(np.int64) for x in (a, b))
+        count_a, count_b = (np.array([len(x[i]) // 4 for i in some], np.int64) for x in (a, b))
+        end_a, end_b = np.cumsum(v.flat_a.lengths[ids_a]), np.cumsum(v.flat_b.lengths[ids_b])
+        stop = np.cumsum([len(raws[i]) for i in some], dtype=np.int64)
+        size = int(stop[-1]) + 1 if len(some) else 1
+
+        marks = np.zeros(size, np.uint8)  # bit 0: a token of A ends here; bit 1: one of B
+        marks[end_a] = 1
+        marks[end_b] |= 2
+        at = np.flatnonzero(marks)
+        kind = marks[at]
+        of_a, of_b, both = kind & 1, kind >> 1, kind == 3
+        link_a, link_b = (ids_a[np.cumsum(of_a, dtype=np.int64) - of_a], ids_b[np.cumsum(of_b, dtype=np.int64) - of_b])
+        same = v.same[link_a] == link_b
+        links = np.searchsorted(at, stop, side="right")
+        sames = np.append(0, np.cumsum(same))[links]
+        groups = np.append(0, np.cumsum(both))[links]
+        self.numbers = np.zeros((len(raws), 4), np.int64)
+        self.numbers[some] = np.stack([count_a, count_b, *(np.diff(x, prepend=0) for x in (groups, links))], axis=1).reshape(-1, 4)
+
+        ended = np.cumsum(marks == 3)
+        group_a, group_b = (ended[e] - (marks[e] == 3) for e in (end_a, end_b))
+        total = int(ended[-1])
+        before_a, before_b = (np.append(0, np.cumsum(np.bincount(g, minlength=total))) for g in (group_a, group_b))
+        place_a = np.arange(len(ids_a)) + before_b[group_a]
+        place_b = np.arange(len(ids_b)) + before_a[group_b + 1]
+        ids = np.empty(len(ids_a) + len(ids_b), np.int64)
+        sign = np.empty(len(ids), np.uint8)
+        ids[place_a], ids[place_b] = ids_a, ids_b
+        sign[place_a] = np.where(np.diff(group_a, prepend=-1) > 0, ord(";"), ord(","))
+        sign[place_b] = np.where(np.diff(group_b, prepend=-1) > 0, ord("|"), ord(","))
+        text, ends = v.digits.joined(ids)
+        text[ends - v.digits.lengths[ids]] = sign
+        text_stop = np.append(0, ends)[np.cumsum(count_a + count_b)].tolist()
+
+        self.texts, self.same, self.pairs = ([b""] * len(raws) for _ in range(3))
+        raw_text = text.tobytes()
+        raw_same = link_a[same].astype("<u4").tobytes()
+        codes = link_a[~same] * v.size_b + link_b[~same]
+        width = 8 if v.wide else 4
+        raw_pairs = codes.astype(f"<u{width}").tobytes()
+        low = (0, 0, 0)
+        for i, t, s, p in zip(some, text_stop, sames.tolist(), (links - sames).tolist(), strict=True):
+            self.texts[i], self.same[i], self.pairs[i] = raw_text[low[0] : t], raw_same[4 * low[1] : 4 * s], raw_pairs[width * low[2] : width * p]
+            low = (t, s, p)
+
+    @staticmethod
+    def spelled(v: Vocabularies, raws: list[bytes], a: list[bytes], b: list[bytes]) -> np.ndarray:
+        """Whether the tokens of both spell each run."""
+        good = np.ones(len(raws), bool)
+        for ids, flat in ((a, v.flat_a), (b, v.flat_b)):
+            lengths = flat.lengths[np.frombuffer(b"".join(ids), "<u4")]
+            first = np.append(0, np.cumsum([len(x) // 4 for x in ids]))
+            sums = np.append(0, np.cumsum(lengths))[first]
+            good &= np.diff(sums) == np.array([len(x) for x in raws], np.int64)
+        some = np.flatnonzero(good)
+        want = np.frombuffer(b"".join(raws[i] for i in some), np.uint8)
+        stop = np.cumsum([len(raws[i]) for i in some], dtype=np.int64)
+        for ids, flat in ((a, v.flat_a), (b, v.flat_b)):
+            own, _ = flat.joined(np.frombuffer(b"".join(ids[i] for i in some), "<u4"))
+            wrong = np.flatnonzero(own != want)
+            good[some[np.unique(np.searchsorted(stop, wrong, side="right"))]] = False
+        return good
+
+
+class Row:
+    """One text, put together from its runs."""
+
+    def __init__(self, text: str | None):
+        self.text, self.good = text, bool(text)
+        self.numbers, self.digest = np.zeros(4, np.int64), hashlib.sha256()
+        self.same: list[bytes] = []
+        self.pairs: list[bytes] = []
+
+    def add(self, aligned: Aligned, i: int) -> None:
+        self.good &= bool(aligned.good[i])
+        if self.good:
+            self.digest.update(aligned.texts[i] if self.numbers[0] else aligned.texts[i][1:])
+            self.numbers += aligned.numbers[i]
+            self.same.append(aligned.same[i])
+            self.pairs.append(aligned.pairs[i])
+
+    def checked(self, v: Vocabularies) -> Row:
+        """If a run is not spelled, the whole text may still be."""
+        if self.good or not self.text or not v.units:
+            return self
+        whole, out = " " + self.text, Row(self.text)
+        out.add(Aligned(v, [whole.encode()], [v.of_a(whole)], list(v.of_b([whole]))), 0)
+        return out
+
+
+def aligned_rows(v: Vocabularies, tokens: Tokens, texts: list[str | None]) -> Iterator[Row]:
+    rows: list[Row] = []
+    runs: list[tuple[Row, bytes, bytes, bytes]] = []
+    size = 0
+
+    def align() -> None:
+        together = Aligned(v, *([x[i] for x in runs] for i in (1, 2, 3)))
+        for i, (row, *_) in enumerate(runs):
+            row.add(together, i)
+        runs.clear()
+
+    for text in texts:
+        rows.append(Row(text))
+        for units in runs_of(text, v.units) if text else ():
+            raw = "".join(units).encode()
+            runs.append((rows[-1], raw, *tokens.of(units)))
+            size += len(raw)
+            if size >= RUN:
+                align()
+                size = 0
+        if not runs:
+            yield from (row.checked(v) for row in rows)
+            rows = []
+    if runs:
+        align()
+    yield from (row.checked(v) for row in rows)
+
+
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
+
+
+def aligned_texts(docs: DataFrame, path_a: str, path_b: str, kind: str) -> DataFrame:
+    """(id, n_a, n_b, n_groups, n_links, groups_sha256, same, pairs): the last two hold the ids of links, packed."""
 
-    def __init__(self, vocabularies: Vocabularies, lookup=None):
-        self.v = vocabularies
-        self.kept, self.lookup = Units(vocabularies, lookup), lookup
-
-    def text(self, text: str | None) -> tuple[list[tuple[Units, np.ndarray]], str] | None:
-        """The places of the text's units, and the digest of its groups; None if its tokens do not spell it."""
-        if not text:
-            return None
-        found, digest, lead = [], hashlib.sha256(), b""
-        for run in runs_of(text, self.v.units):
-            long = [u for u in run if len(u) > KEPT_LENGTH]
-            units = Units(self.v, self.lookup) if long else self.kept  # a run with a unit too long to keep has units of its own
-            places = np.array(units.add(run), np.int64)
-            if not units.table[places, 0].all():
-                return None if self.v.units and not self.spells(text) else self.as_one(text)
-            digest.update(lead + ";".join(map(units.group_text.__getitem__, places.tolist())).encode())
-            lead = b";"
-            found.append((units, places))
-        return found, digest.hexdigest()
-
-    def spells(self, text: str) -> bool:
-        a, b = next(self.v.tokens([" " + text]))
-        raw = (" " + text).encode()
-        return b"".join(self.v.bytes_a[x] for x in a) == raw == b"".join(self.v.bytes_b[x] for x in b)
-
-    def as_one(self, text: str) -> tuple[list[tuple[Units, np.ndarray]], str] | None:
-        units = Units(self.v, self.lookup)
-        units.add([" " + text])
-        if not units.table[0, 0]:
-            return None
-        return [(units, np.zeros(1, np.int64))], hashlib.sha256(units.group_text[0].encode()).hexdigest()
-
-
-def summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(codes, kind="stable")
-    codes, n = codes[order], n[order]
-    starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
-    return codes[starts], (np.add.reduceat(n, starts) if len(starts) else n)
-
-
-def link_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabularies.at(path_a, path_b)
+        tokens = Tokens(v)
+        for batch in batches:
+            at, rows = 0, []
+
+            def packed() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(rows)),
+                     *(pa.array([int(r.numbers[i]) if r.good else 0 for r in rows], pa.int64()) for i in range(4)),
+                     pa.array([r.digest.hexdigest() if r.good else "" for r in rows], pa.string()),
+                     *(pa.array([b"".join(x) if r.good else b"" for r, x in own], pa.binary())
+                       for own in ([(r, r.same) for r in rows], [(r, r.pairs) for r in rows]))],
+                    names=["id", *NUMBERS, "groups_sha256", "same", "pairs"])
+
+            for row in aligned_rows(v, tokens, [x.as_py() for x in batch.column(1)]):
+                rows.append(row)
+                if sum(r.numbers[3] for r in rows[-1:]) > RUN or len(rows) >= 500:
+                    yield packed()
+                    at, rows = at + len(rows), []
+            if rows:
+                yield packed()
+
+    return docs.mapInArrow(
+        run, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, same binary, pairs binary")
+
+
+def unpacked(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a packed column, and where each row's begin (one more at the end)."""
+    stops = np.append(0, np.cumsum([len(x.as_buffer()) // width for x in column], dtype=np.int64))
+    return np.frombuffer(b"".join(x.as_buffer() for x in column), f"<u{width}").astype(np.int64), stops
+
+
+def link_counts(aligned: DataFrame, vocabulary: int, wide: bool) -> DataFrame:
     """(same, code, n): links of identical bytes by A id (``same``), the others by pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabularies.at(path_a, path_b)
-        aligner, vector = Aligner(v), np.zeros(len(v.bytes_a), np.int64)
-        used: list[np.ndarray] = []
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def gather(units: Units, uses: np.ndarray) -> None:
-            sizes = np.array([len(x) for x in units.links], np.int64)
-            codes = np.concatenate([*units.links, np.empty(0, np.int64)])
-            n = np.repeat(uses, sizes)
-            a, b = codes // v.size_b, codes % v.size_b
-            same = v.same[a] == b
-            np.add.at(vector, a[same], n[same])
-            held.append(summed(codes[~same], n[~same]))
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if used:
-                gather(aligner.kept, np.bincount(np.concatenate(used), minlength=aligner.kept.size))
-                used.clear()
-            if held:
-                codes, n = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                held.clear()
-                codes, n = codes[n > 0], n[n > 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(len(codes), bool)), pa.array(codes), pa.array(n)], names=["same", "code", "n"])
+        vector, held, size = np.zeros(vocabulary, np.int64), [], 0
+
+        def counted(same: bool, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), same)), pa.array(codes), pa.array(n)], names=["same", "code", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                got = aligner.text(text.as_py())
-                for units, places in got[0] if got else ():
-                    if units is aligner.kept:
-                        used.append(places)
-                    else:
-                        gather(units, np.bincount(places, minlength=units.size))
-                if aligner.kept.full or len(held) > 200 or len(used) > 20_000:
-                    yield from flush()
-                    if aligner.kept.full:
-                        aligner.kept.clear()
-        yield from flush()
+            vector += np.bincount(unpacked(batch.column(0), 4)[0], minlength=vocabulary)
+            held.append(unpacked(batch.column(1), 8 if wide else 4)[0])
+            size += len(held[-1])
+            if size >= HELD:
+                yield counted(False, *np.unique(np.concatenate(held), return_counts=True))
+                held, size = [], 0
+        if size:
+            yield counted(False, *np.unique(np.concatenate(held), return_counts=True))
         some = np.flatnonzero(vector)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(some), bool)), pa.array(some), pa.array(vector[some])], names=["same", "code", "n"])
+        yield counted(True, some, vector[some])
 
     return (
-        docs.mapInArrow(run, "same boolean, code long, n long").groupBy("same", "code").agg(F.sum("n").alias("n"))
+        aligned.select("same", "pairs").mapInArrow(run, "same boolean, code long, n long")
+        .groupBy("same", "code").agg(F.sum("n").alias("n"))
     )
 
 
-def counted_texts(docs: DataFrame, path_a: str, path_b: str, known, kind: str) -> DataFrame:
-    """(id, n_a ... groups_sha256, missing): sums over the links of known pairs, and the links of others."""
+def link_sums(aligned: DataFrame, v: Vocabularies, known) -> DataFrame:
+    """``aligned`` with n_best, count_sum, and the links of pairs that are not ``known``."""
+    size_b, wide, same_of = v.size_b, v.wide, v.same
+    named = ["id", *NUMBERS, "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabularies.at(path_a, path_b)
         vector, best, codes, n = known.value
+        is_best = (vector == best[same_of]).astype(np.int64)  # by A id, of its pair of equal bytes
 
-        def lookup(own: np.ndarray) -> tuple[int, int, np.ndarray]:
-            a, b = own // v.size_b, own % v.size_b
-            count = np.where(v.same[a] == b, vector[a], 0)
-            if len(codes):
-                at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
-                count = np.where(codes[at] == own, n[at], count)
-            found = count > 0
-            return int((found & (count == best[b])).sum()), int(count.sum()), own[~found]
+        def row_sums(values: np.ndarray, stops: np.ndarray) -> np.ndarray:
+            return np.diff(np.append(0, np.cumsum(values))[stops])
 
-        aligner = Aligner(v, lookup)
         for batch in batches:
-            rows, digests, missing = [], [], []
-            for text in batch.column(1):
-                got = aligner.text(text.as_py())
-                rows.append(sum((units.table[places].sum(axis=0) for units, places in got[0]), np.zeros(7, np.int64)) if got else np.zeros(7, np.int64))
-                digests.append(got[1] if got else "")
-                lost = [units.missing[p] for units, places in got[0] for p in places.tolist() if len(units.missing[p])] if got else []
-                pairs, times = np.unique(np.concatenate(lost), return_counts=True) if lost else ((), ())
-                missing.append([{"code": int(c), "n": int(t)} for c, t in zip(pairs, times, strict=True)])
-                if aligner.kept.full:
-                    aligner.kept.clear()
-            table = np.array(rows, np.int64).reshape(-1, 7)
+            ids, stops = unpacked(batch.column(len(named)), 4)
+            top, total = row_sums(is_best[ids], stops), row_sums(vector[ids], stops)
+            pairs, stops = unpacked(batch.column(len(named) + 1), 8 if wide else 4)
+            at = np.minimum(np.searchsorted(codes, pairs), max(len(codes) - 1, 0))
+            found = (codes[at] == pairs) if len(codes) else np.zeros(len(pairs), bool)
+            count = np.where(found, n[at], 0) if len(codes) else np.zeros(len(pairs), np.int64)
+            top += row_sums(found & (count == best[pairs % size_b]), stops)
+            total += row_sums(count, stops)
+            lost = np.flatnonzero(~found)
+            row = np.searchsorted(stops, lost, side="right") - 1
+            missing = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)), pa.array(pairs[lost]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(table[:, i]) for i in range(1, 7)), pa.array(digests, pa.string()),
-                 pa.array(missing, pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64())])))],
-                names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "missing"])
+                [*batch.columns[: len(named)], pa.array(top), pa.array(total), missing], names=[*named, "n_best", "count_sum", "missing"])
 
-    return docs.mapInArrow(
-        run, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-        "groups_sha256 string, missing array<struct<code: long, n: long>>")
+    kept = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in named)
+    return aligned.select(*named, "same", "pairs").mapInArrow(run, f"{kept}, n_best long, count_sum long, missing array<long>")
 
 
 def piece_tokenizer() -> str:
@@ -332,11 +399,11 @@ def piece_tokenizer() -> str:
 
 def pair_table(docs: DataFrame, text: str = "text", path_a: str | None = None, path_b: str | None = None) -> DataFrame:
     """(a_id, b_id, n, same): how often each pair of ids is linked in all texts."""
-    a, b = path_a or default_tokenizer(), path_b or piece_tokenizer()
-    v = Vocabularies.at(a, b)
-    rows = link_counts(docs.select(F.col(text).cast("string")), a, b)
+    path_a, path_b = path_a or default_tokenizer(), path_b or piece_tokenizer()
+    v = Vocabularies.at(path_a, path_b)
+    aligned = aligned_texts(docs.select(F.lit(0).alias("id"), F.col(text).cast("string")), path_a, path_b, "int")
     same = F.element_at(F.lit(v.same.tolist()), (F.col("code") + 1).cast("int")).cast("long")
-    return rows.select(
+    return link_counts(aligned, len(v.bytes_a), v.wide).select(
         F.when(F.col("same"), F.col("code")).otherwise(F.floor(F.col("code") / v.size_b)).cast("long").alias("a_id"),
         F.when(F.col("same"), same).otherwise(F.col("code") % v.size_b).cast("long").alias("b_id"), "n", "same")
 
@@ -349,11 +416,15 @@ def alignment(
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     path_a, path_b = path_a or default_tokenizer(), path_b or piece_tokenizer()
     v = Vocabularies.at(path_a, path_b)
-    counts = scratch.keep(link_counts(docs.select(F.col(text).cast("string")), path_a, path_b))
+    kind = docs.schema[id_col].dataType.simpleString()
+    aligned = scratch.keep(aligned_texts(docs.select(F.col(id_col), F.col(text).cast("string")), path_a, path_b, kind))
+    counts = scratch.keep(link_counts(aligned, len(v.bytes_a), v.wide))
+
     vector, best = np.zeros(len(v.bytes_a), np.int64), np.zeros(v.size_b, np.int64)
     same = counts.where("same").select("code", "n").toArrow()  # at most A's vocabulary
     vector[same.column("code").to_numpy()] = same.column("n").to_numpy()
-    np.maximum.at(best, v.same[np.flatnonzero(vector)], vector[np.flatnonzero(vector)])
+    used = np.flatnonzero(vector)
+    np.maximum.at(best, v.same[used], vector[used])
     others = counts.where("not same").select("code", "n")
     highest = others.groupBy((F.col("code") % v.size_b).alias("b")).agg(F.max("n").alias("n")).toArrow()  # at most B's
     np.maximum.at(best, highest.column("b").to_numpy(), highest.column("n").to_numpy())
@@ -362,21 +433,18 @@ def alignment(
     order = np.argsort(codes)
     known = spark.sparkContext.broadcast((vector, best, codes[order], n[order]))
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = counted_texts(docs.select(F.col(id_col), F.col(text).cast("string")), path_a, path_b, known, kind)
-    named = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    found = link_sums(aligned, v, known)
+    out = [F.col("id").alias(id_col), *NUMBERS, "n_best", "count_sum", "groups_sha256"]
     if not more:
-        return found.select(F.col("id").alias(id_col), *named)
+        return found.select(*out)
     rows = scratch.keep(found.withColumn("row", F.monotonically_increasing_id()))
-    tops = others.groupBy((F.col("code") % v.size_b).alias("b")).agg(F.max("n").alias("high"))
-    rare = others.join(tops, F.col("code") % v.size_b == F.col("b"))
-    for_same = spark.createDataFrame(pa.table({"b_same": np.arange(v.size_b), "best": best}))
-    rare = rare.join(for_same, F.col("b") == F.col("b_same")).select(
-        "code", F.col("n").alias("count"), (F.col("n") == F.col("best")).cast("long").alias("is_best"))
+    highs = spark.createDataFrame(pa.table({"b": np.arange(v.size_b), "high": best}))  # the size of B's vocabulary
+    rare = others.join(highs, F.col("code") % v.size_b == F.col("b")).select(
+        "code", F.col("n").alias("count"), (F.col("n") == F.col("high")).cast("long").alias("is_best"))
     late = (
-        rows.select("row", F.explode("missing").alias("m")).select("row", "m.code", "m.n").join(rare, "code").groupBy("row")
-        .agg(F.sum(F.col("n") * F.col("is_best")).alias("more_best"), F.sum(F.col("n") * F.col("count")).alias("more_sum"))
+        rows.select("row", F.explode("missing").alias("code")).join(rare, "code").groupBy("row")
+        .agg(F.sum("is_best").alias("more_best"), F.sum("count").alias("more_sum"))
     )
     return rows.join(late, "row", "left").withColumns({
         "n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)),
-        "count_sum": F.col("count_sum") + F.coalesce("more_sum", F.lit(0))}).select(F.col("id").alias(id_col), *named)
+        "count_sum": F.col("count_sum") + F.coalesce("more_sum", F.lit(0))}).select(*out)

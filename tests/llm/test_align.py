@@ -93,25 +93,26 @@ def test_units_are_the_tokens_of_the_whole_text(libraries, text, run):
     assert v.units
     usual, align.RUN = align.RUN, run
     try:
-        got = align.Aligner(v).text(text)
+        rows = list(align.aligned_rows(v, align.Tokens(v), [text, None, "a b", text]))
     finally:
         align.RUN = usual
     want = whole(libraries, text)
-    assert (got is None) == (want is None)
-    if want:
-        rows = sum(units.table[places].sum(axis=0) for units, places in got[0])
-        assert rows[1:5].tolist() == [len(want[0]), len(want[1]), len(want[2]), len(want[3])]
-        joined = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want[2])
-        assert got[1] == hashlib.sha256(joined.encode()).hexdigest()
+    assert [r.good for r in rows] == [want is not None, False, True, want is not None]
+    for row in (rows[0], rows[3]):
+        if want:
+            assert row.numbers.tolist() == [len(want[0]), len(want[1]), len(want[2]), len(want[3])]
+            joined = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want[2])
+            assert row.digest.hexdigest() == hashlib.sha256(joined.encode()).hexdigest()
 
 
-def test_a_very_long_text_is_cut_into_runs(libraries, monkeypatch):
+def test_a_very_long_text_is_cut_into_runs(monkeypatch):
     text = "some words of a long text, again and again. " * 200
     v = align.Vocabularies.at(bpe.default_tokenizer(), align.piece_tokenizer())
-    want = align.Aligner(v).text(text)[1]
+    want = next(align.aligned_rows(v, align.Tokens(v), [text])).digest.hexdigest()
     monkeypatch.setattr(align, "RUN", 50)
-    got = align.Aligner(v).text(text)
-    assert len(got[0]) > 100 and got[1] == want
+    monkeypatch.setattr(align, "KEPT", 100)
+    got = next(align.aligned_rows(v, align.Tokens(v), [text]))
+    assert len(got.same) > 100 and got.digest.hexdigest() == want
 
 
 def test_the_identity_map_pairs_equal_bytes():
