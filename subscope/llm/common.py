@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,20 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Arrow batches of at most ``size`` for what is written inside."""
+    before = spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_BYTES) if before is None else spark.conf.set(ARROW_BYTES, before)
+
+
 # ---------------------------------------------------------------- texts as arrays
 
 
