@@ -39,9 +39,9 @@ from subscope.llm.common import Scratch, most_frequent
 #: Pairs that go to all tasks, at most.
 LISTED = 1 << 20
 #: Bytes of units and ids a task keeps before it starts anew.
-KEPT = 48 << 20
+KEPT = 40 << 20
 #: Characters of a run of units.
-RUN = 1 << 19
+RUN = 1 << 18
 #: Links a task holds before it counts them.
 HELD = 3_000_000
 _SPACE = "▁"
