@@ -7,10 +7,10 @@ that adds nothing is then never planned.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscope.functions.clean import surrogate_key
@@ -18,6 +18,7 @@ from subscope.functions.dates import month_of, month_series, quarter_of
 from subscope.functions.flags import over_limit_flag
 from subscope.functions.ratios import utilization
 from subscope.operators.aggs import count_rows, count_where, first_event_at, monthly_agg, sum_where
+from subscope.operators.deltas import monthly_counts
 from subscope.operators.joins import (
     enrich,
     inner_match,
@@ -252,9 +253,23 @@ def int_devices(devices: DataFrame, items: DataFrame, subscriptions: DataFrame)
     ).drop("_item")
 
 
-def int_customer_device_counts(devices: DataFrame) -> DataFrame:
-    return devices.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        count_rows().alias("device_count"),
+def int_customer_device_counts(
+    devices: DataFrame, items: DataFrame, subscriptions: DataFrame
+) -> DataFrame:
+    """Devices of each customer, counted as ``int_devices`` has them: once per subscription on their item.
+
+    Only the item's customer and order are looked up, and subscriptions come as a number per item, so
+    no order, program or catalog row is moved for it.
+    """
+    matches = subscriptions.where(F.col("order_item_id").isNotNull()).groupBy("order_item_id").agg(
+        count_rows().alias("_matches"))
+    sold = enrich(
+        devices.select("device_id", "order_item_id", "purchase_date", "delivery_date"),
+        items, ("order_item_id", "order_item_id"), ["customer_id", "order_id"], spread="device_id",
+    ).where(F.col("customer_id").isNotNull())
+    counted = enrich(sold, matches, ("order_item_id", "order_item_id"), ["_matches"])
+    return counted.groupBy("customer_id").agg(
+        F.sum(F.coalesce("_matches", F.lit(1))).alias("device_count"),
         F.count_distinct("order_id").alias("order_count_with_devices"),
         F.min("purchase_date").alias("first_device_purchase_date"),
         F.max("delivery_date").alias("latest_device_delivery_date"),
@@ -312,6 +327,54 @@ def int_subscription_snapshots_monthly(
     )
 
 
+def monthly_snapshot_counts(
+    subscriptions: DataFrame, as_of: date | str, by: Sequence[str], flags: Collection[str]
+) -> DataFrame:
+    """How many monthly ``snapshots`` there are per group and month, and how many have each of some flags.
+
+    The same rows and flags as ``int_subscription_snapshots_monthly`` without making them: every
+    condition on the month is an interval of months, counted by its two ends.
+    """
+    today = F.lit(str(as_of)).cast("date")
+    started, ended = F.col("service_started_at"), F.col("service_ended_at")
+    stops = [ended, F.col("subscription_close_date")]
+    first = month_of(F.coalesce(started, F.to_date("created_at")))
+    last = month_of(F.coalesce(*stops, today))
+    running = (F.col("subscription_status") == IN_SERVICE) & started.isNotNull()
+
+    def open_between(begin: Column, ends: Sequence[Column]) -> tuple[Column, Column]:
+        return F.when(running, F.greatest(first, begin)), F.least(last, *ends)
+
+    def inside(when: Column, happened: Column) -> tuple[Column, Column]:
+        return when, happened & when.between(first, last)
+
+    # the first month that begins at the start or later; the last that begins before a stop
+    after = F.when(started <= month_of(started), month_of(started)).otherwise(F.add_months(month_of(started), 1))
+    before = [F.when(s > month_of(s), month_of(s)).otherwise(F.add_months(month_of(s), -1)) for s in stops]
+    touched = month_of("updated_at")
+    spans = {
+        "is_active": open_between(month_of(started), [F.add_months(month_of(s), -1) for s in stops]),
+        "is_active_at_quarter_start": open_between(after, before),
+    }
+    moments = {
+        "is_churned": inside(month_of(ended), F.col("is_churned")),
+        "is_upgraded": inside(touched, F.col("is_upgraded")),
+        "is_kifed": inside(touched, F.col("is_kifed")),
+        "is_upgraded_or_kifed": inside(touched, F.col("is_upgraded") | F.col("is_kifed")),
+    }
+    if unknown := set(flags) - {*spans, *moments}:
+        raise KeyError(f"snapshots have no flags {sorted(unknown)}")
+    counts = monthly_counts(
+        subscriptions, by, "snapshot_month",
+        {"snapshots": (first, last)} | {n: s for n, s in spans.items() if n in flags},
+        {n: m for n, m in moments.items() if n in flags}, "snapshots",
+    )
+    m, at_start = F.col("snapshot_month"), "is_active_at_quarter_start"
+    if at_start in flags:
+        counts = counts.withColumn(at_start, F.when(F.month(m).isin(*QUARTER_MONTHS), F.col(at_start)).otherwise(0))
+    return counts.withColumn("snapshot_quarter", quarter_of(m))
+
+
 def int_payments_crm(
     payments: DataFrame, orders: DataFrame, customers: DataFrame | None
 ) -> DataFrame:

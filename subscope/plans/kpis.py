@@ -10,13 +10,13 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from subscope.functions.dates import whole_days
 from subscope.functions.ratios import ratio, ratio_or_zero
 from subscope.operators.aggs import count_rows, count_where, distinct_where, exact_median, mean, sum_where
-from subscope.plans.metrics import apply_slicers, join_keys, resolve_keys
+from subscope.operators.distinct_states import count_state, dictionary, distinct_state
+from subscope.plans.metrics import SNAPSHOTS, apply_slicers, counted_snapshots, join_keys, resolve_keys
 from subscope.plans.semantics import MODELS
 
 Aggregate = Callable[[], Column]
@@ -145,23 +145,33 @@ def _median_delivery(w, name, group_by, slicers) -> DataFrame:
 QUARTER = "snapshot_quarter"
 
 
-def _quarter_rate(happened: Callable[[], Column]):
+def _quarter_rate(happened: Callable[[], Column], flag: str):
     def evaluate(w, name, group_by, slicers) -> DataFrame:
         """Events of one quarter over subscriptions active at its start.
 
         The quarter is the one selected, by slicer or by grouping; otherwise the latest
         that the remaining selection has. Counting per quarter and keeping the latest
-        takes one pass.
+        takes one pass, over counts by month where no snapshots are written (``flag`` is the
+        count of ``happened``).
         """
         chosen = dict(slicers or {})
         selected = chosen.pop(QUARTER, ())
         if len(selected) == 1:
             chosen[QUARTER] = selected
-        df, keys = _rows(w, "subscription_monthly_snapshots", group_by, chosen)
-        per_quarter = df.groupBy(*dict.fromkeys([*keys, QUARTER])).agg(
-            count_where(happened()).alias("_events"),
-            count_where("is_active_at_quarter_start").alias("_base"),
-        )
+        resolved = resolve_keys(MODELS[SNAPSHOTS], group_by, None)
+        counts = counted_snapshots(w, resolved, chosen, {flag, "is_active_at_quarter_start"})
+        if counts is not None:
+            keys, level = resolved.names, dict.fromkeys([*resolved.first_level, QUARTER])
+            partial = counts.groupBy(*level).agg(
+                F.sum(flag).alias("_events"), F.sum("is_active_at_quarter_start").alias("_base"))
+            per_quarter = join_keys(w, partial, resolved).groupBy(*dict.fromkeys([*keys, QUARTER])).agg(
+                F.sum("_events").alias("_events"), F.sum("_base").alias("_base"))
+        else:
+            df, keys = _rows(w, SNAPSHOTS, group_by, chosen)
+            per_quarter = df.groupBy(*dict.fromkeys([*keys, QUARTER])).agg(
+                count_where(happened()).alias("_events"),
+                count_where("is_active_at_quarter_start").alias("_base"),
+            )
         latest = [F.max_by(c, QUARTER).alias(c) for c in ("_events", "_base")]
         if QUARTER in keys:
             scoped = per_quarter
@@ -186,10 +196,35 @@ def _outstanding(w, name, group_by, slicers) -> DataFrame:
     return both.groupBy(*keys).agg(F.count_distinct("customer_id").alias(name))
 
 
+def outstanding_state(
+    w: Mapping[str, DataFrame], keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """Which customers owe, per channel partner, as mergeable bitmaps.
+
+    ``outstanding_from`` answers any roll-up of partners from it; the invoices and attempts are read once.
+    """
+    cols = ("channel_partner_id", "customer_id")
+    owing = w["fct_invoices"].where(~F.coalesce("is_paid", F.lit(False))).select(*cols)
+    retry = w["fct_payment_attempts"].where("is_outstanding_retry_failure").select(*cols)
+    facts = keep(owing.union(retry).where(F.col("customer_id").isNotNull()).distinct())
+    return keep(distinct_state(facts, ["channel_partner_id"], "customer_id", dictionary(facts, "customer_id", keep)))
+
+
+def outstanding_from(
+    w: Mapping[str, DataFrame], state: DataFrame, group_by: Sequence[str] = ()
+) -> DataFrame:
+    """``customers_with_outstanding_payments`` by dimensions of the channel partner, from states alone."""
+    keys = resolve_keys(MODELS["invoices"], group_by, None)
+    if keys.own or not set(keys.links) <= {"channel_partner_id"}:
+        raise KeyError(f"the state knows partners only, not {list(group_by)}")
+    return count_state(join_keys(w, state, keys), keys.names, "customers_with_outstanding_payments")
+
+
 SPECIAL = {
     "median_order_to_delivery_days": _median_delivery,
-    "churn_rate": _quarter_rate(lambda: _c("is_churned")),
-    "upgrade_rate": _quarter_rate(lambda: _c("is_upgraded") | _c("is_kifed")),
+    "churn_rate": _quarter_rate(lambda: _c("is_churned"), "is_churned"),
+    "upgrade_rate": _quarter_rate(
+        lambda: _c("is_upgraded") | _c("is_kifed"), "is_upgraded_or_kifed"),
     "customers_with_outstanding_payments": _outstanding,
 }
 
@@ -197,6 +232,6 @@ ALL_KPIS = (*KPIS, *SPECIAL)
 
 
 def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
-    """Each group's share of the total, for the few rows of a finished aggregate."""
-    total = F.sum(measure).over(Window.partitionBy(F.lit(0)))
-    return df.withColumn("_total", total).withColumn(name, ratio(measure, "_total")).drop("_total")
+    """Each group's share of the total, one row that is joined to the finished aggregate."""
+    total = df.agg(F.sum(measure).alias("_total"))  # one row
+    return df.crossJoin(F.broadcast(total)).withColumn(name, ratio(measure, "_total")).drop("_total")

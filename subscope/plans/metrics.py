@@ -7,7 +7,7 @@ then. Distinct counts and medians go the same way as (value, count) histograms.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from subscope.functions.dates import period_of
 from subscope.functions.ratios import ratio
 from subscope.operators.joins import enrich, slice_by
+from subscope.plans.conform import monthly_snapshot_counts
 from subscope.plans.semantics import METRICS, MODELS, Derived, Measure, Ratio, SemanticModel, Simple, model_of_entity
 
 TIME = "metric_time"
@@ -92,6 +93,53 @@ def join_keys(w: Mapping[str, DataFrame], df: DataFrame, keys: Keys) -> DataFram
     return df
 
 
+SNAPSHOTS = "subscription_monthly_snapshots"
+_SNAPSHOT_DIMENSIONS = {"snapshot_month", "snapshot_quarter", "subscription_status"}
+_SNAPSHOT_FLAGS = {
+    "is_active", "is_active_at_quarter_start", "is_churned", "is_upgraded", "is_kifed", "is_upgraded_or_kifed",
+}
+
+
+def counted_snapshots(
+    w: Mapping[str, DataFrame], keys: Keys, slicers: Mapping[str, Sequence[object]], flags: Collection[str]
+) -> DataFrame | None:
+    """Counts of monthly snapshots per ``keys.first_level`` and month, from the ends of their intervals.
+
+    ``snapshots`` counts rows and a column for each of ``flags`` those that have it. None if the snapshots are
+    written as a mart, or a key or slicer needs a column only they have.
+    """
+    source = getattr(w, "snapshot_subscriptions", None)
+    subscriptions = source() if source else None
+    model = MODELS[SNAPSHOTS]
+
+    def own(name: str) -> str | None:
+        entity, _, dim = name.rpartition("__")
+        return dim if entity in ("", model.primary) else None
+
+    dims = {n: model.time if n == TIME else own(n) for n in keys.own}
+    sliced = {n: own(n) for n in slicers}
+    asked = {d for d in (*dims.values(), *sliced.values()) if d is not None}
+    if subscriptions is None or not asked <= _SNAPSHOT_DIMENSIONS:
+        return None
+    early = {n: v for n, v in slicers.items() if sliced[n] in (None, "subscription_status")}
+    late = {sliced[n]: v for n, v in slicers.items() if n not in early}
+    status = ["subscription_status"] if "subscription_status" in dims.values() else []
+    counts = monthly_snapshot_counts(
+        apply_slicers(w, model, subscriptions, early), w.as_of, list(dict.fromkeys([*keys.links, *status])), flags)
+    for dim, values in late.items():
+        counts = counts.where(F.col(dim).isin(*values))
+    return counts.withColumns({n: c for n, c in keys.own.items() if n not in counts.columns})
+
+
+def _counts(w, df: DataFrame, keys: Keys, measures: Mapping[str, Measure]) -> DataFrame:
+    """Counting measures over rows that are counts themselves."""
+    sums = {n: "snapshots" if m.agg == "count" else m.expr for n, m in measures.items()}
+    partial = df.groupBy(*keys.first_level).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    if keys.foreign:
+        partial = join_keys(w, partial, keys).groupBy(*keys.names).agg(*[F.sum(n).alias(n) for n in sums])
+    return partial.select(*keys.names, *[F.coalesce(n, F.lit(0)).alias(n) for n in sums])
+
+
 def _additive(name: str, measure: Measure) -> tuple[dict[str, Column], dict[str, Column], Column]:
     """Partial columns, how they merge, and the final expression over the merged ones."""
     x = F.expr(measure.expr)
@@ -171,6 +219,13 @@ def simple_metrics(
         model = MODELS[model_name]
         keys = resolve_keys(model, group_by, grain)
         names = keys.names
+        if model_name == SNAPSHOTS and condition is None and where is None and all(
+            m.agg == "count" or m.agg == "count_if" and m.expr in _SNAPSHOT_FLAGS for m in measures.values()
+        ) and (counts := counted_snapshots(
+            w, keys, slicers or {}, {m.expr for m in measures.values() if m.agg == "count_if"}
+        )) is not None:
+            parts.append(_counts(w, counts, keys, measures))
+            continue
         df = w[model.mart]
         if condition is not None:
             df = df.where(condition)

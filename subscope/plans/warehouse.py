@@ -23,7 +23,7 @@ from subscope.schemas import RAW_TABLES
 from subscope.session import size_shuffle
 from subscope.sources.calendar import date_spine, spine_of
 from subscope.sources.raw import read_raw
-from subscope.sources.sinks import write_mart
+from subscope.sources.sinks import read_mart, write_mart
 
 CALENDAR_START = "2019-01-01"  # fixed value
 
@@ -106,7 +106,9 @@ CONFORMED: dict[str, Callable[[Warehouse], DataFrame]] = {
     "int_devices": lambda w: c.int_devices(
         w["stg_devices"], w["ctx_order_items"], w["stg_subscriptions"]
     ),
-    "int_customer_device_counts": lambda w: c.int_customer_device_counts(w["ctx_devices"]),
+    "int_customer_device_counts": lambda w: c.int_customer_device_counts(
+        w["stg_devices"], w["stg_order_items"], w["stg_subscriptions"]
+    ),
     "int_subscription_snapshots_monthly": lambda w: c.int_subscription_snapshots_monthly(
         w["ctx_subscriptions"], w.as_of
     ),
@@ -228,6 +230,7 @@ class Warehouse:
         self.calendar_start = calendar_start
         self.parent_types = parent_types
         self._models: dict[str, DataFrame] = dict(ready or {})
+        self._ready = frozenset(ready or ())
 
     @classmethod
     def over(cls, spark: SparkSession, root: str, as_of: date | str, **kw) -> Warehouse:
@@ -237,7 +240,7 @@ class Warehouse:
     @classmethod
     def of_marts(cls, spark: SparkSession, root: str, as_of: date | str) -> Warehouse:
         """Over marts written earlier; reports and metrics then start from those."""
-        ready = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in MARTS}
+        ready = {n: read_mart(spark, root, n) for n in MARTS}
         return cls(spark, lambda t: read_raw(spark, root, t), as_of, ready=ready)
 
     def given(self, ready: Mapping[str, DataFrame]) -> Warehouse:
@@ -261,6 +264,11 @@ class Warehouse:
                 return models[name](self)
         raise KeyError(name)
 
+    def snapshot_subscriptions(self) -> DataFrame | None:
+        """Subscriptions to count monthly snapshots from; None where the snapshots are written already."""
+        written = {"fct_subscription_monthly_snapshots", "int_subscription_snapshots_monthly"} & self._ready
+        return None if written else self["ctx_subscriptions"]
+
     def spine(self) -> DataFrame:
         """Day spine from the calendar start to a year after ``as_of``, end excluded.
 
