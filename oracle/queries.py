@@ -139,6 +139,14 @@ put("mart_written_and_read", f"""
     select cast(year(subscription_date) as int) as year, subscription_status,
            count(*) as subscriptions, {total('monthly_recurring_amount_sar')} as amount_sar
     from fct_subscriptions group by 1, 2""")
+put("mart_versions", """
+    select cast(year(subscription_date) as int) as year, 'first' as version, count(*) as subscriptions
+    from fct_subscriptions where is_active_subscription group by 1 union all
+    select cast(year(subscription_date) as int), 'current', count(*) from fct_subscriptions group by 1""")
+put("bucketed_fact_join", f"""
+    select sales_channel, count(*) as items, {cnt('is_gmv_eligible')} as eligible_items
+    from fct_order_items join (select order_id, sales_channel, is_gmv_eligible from fct_orders) using (order_id)
+    group by 1""")
 put("view_registered",
     "select payment_status, count(*) as payments from stg_payments group by payment_status")
 
@@ -267,6 +275,14 @@ put("average", f"""
 put("exact_median", """
     select sales_channel, cast(median(date_diff('day', cast(created_at as date), delivered_at)) as double)
            as median_days from stg_orders where delivered_at is not null group by 1""")
+put("median_by_ranks", """
+    select sales_channel, (max(x) filter (where place = (n + 1) // 2) + max(x) filter (where place = n // 2 + 1)) / 2
+           as median_gmv_sar
+    from (select sales_channel, cast(gmv_amount_sar as double) as x,
+                 row_number() over (partition by sales_channel order by gmv_amount_sar) as place,
+                 count(*) over (partition by sales_channel) as n
+          from fct_orders where gmv_amount_sar is not null)
+    group by 1""")
 put("failure_rate", f"""
     select parent_type, {half_up(cnt('is_failure'), 'count(*)')} as failure_rate
     from stg_api_logs group by 1""")
@@ -645,6 +661,13 @@ put("kpi_outstanding_by_partner", f"""
     from ({_OWING}) o left join stg_channel_partners p using (channel_partner_id)
     where customer_id is not null group by 1""")
 
+put("distinct_states_by_partner_and_total", f"""
+    select 'partner' as level, p.partner_name as channel_partner__partner_name,
+           count(distinct customer_id) as customers_with_outstanding_payments
+    from ({_OWING}) o left join stg_channel_partners p using (channel_partner_id)
+    where customer_id is not null group by all union all
+    select 'total', null, count(distinct customer_id) from ({_OWING})""")
+
 # --- report datasets --------------------------------------------------------------------
 
 

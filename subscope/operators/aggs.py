@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from subscope.functions.clean import _c
@@ -52,7 +51,8 @@ def exact_median(
     The exact form first counts each (group, value), spread over the cluster by both, and
     then takes the weighted median of that histogram: what one task holds is the number of
     distinct values of a group, not its rows. Measures here are whole days, so this is
-    bounded by the day range. ``approx`` is for measures without such a bound.
+    bounded by the day range. ``median_by_ranks`` is for measures without such a bound, exactly;
+    ``approx`` estimates.
     """
     value = F.col("_x")
     base = df.select(*by, x.alias("_x")).where(value.isNotNull())
@@ -89,9 +89,9 @@ def date_rollup(df: DataFrame, date_col: str, aggs: Mapping[str, Column]) -> Dat
 
 
 def of_latest_period(counted: DataFrame, col: str) -> DataFrame:
-    """The rows of the last period of a finished aggregate, whose input is read once."""
-    last = F.max(col).over(Window.partitionBy(F.lit(0)))
-    return counted.withColumn("_last", last).where(F.col(col) == F.col("_last")).drop("_last")
+    """The rows of the last period of a finished aggregate; the period is one row joined to it."""
+    last = counted.agg(F.max(col).alias("_last"))
+    return counted.join(F.broadcast(last), F.col(col) == F.col("_last")).drop("_last")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:

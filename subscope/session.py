@@ -7,6 +7,7 @@ sets runtime SQL options; ``local_session`` is for tests and the local bench.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,22 @@ def size_shuffle(spark: SparkSession, scan_bytes: int) -> int:
     return max(need, have)
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+
+    A session on one machine may go without and gets a temporary folder. On a cluster that would leave each
+    executor's rows on its own disk, so there it is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors share; the master is {master}")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="subscope-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return base.rstrip("/")
+
+
 def local_session(cores: int | str = "*", app: str = "subscope") -> SparkSession:
     shuffle = os.cpu_count() if cores == "*" else cores
     spark = (

@@ -12,7 +12,7 @@ from subscope.plans import kpis, metrics, reports
 from subscope.plans.warehouse import MARTS, SHARED, Warehouse, build, shared_folder
 from subscope.quality import checks, contracts
 from subscope.sources.bindings import bound_raw
-from subscope.sources.sinks import write_bucketed
+from subscope.sources.sinks import mart_path, write_bucketed
 
 AS_OF = "2001-11-20"
 
@@ -41,8 +41,9 @@ def test_written_marts_equal_the_lazy_ones(lazy, written):
 
 
 def test_layout_on_disk(written):
-    _, out = written
-    assert any(d.startswith("snapshot_quarter=") for d in os.listdir(f"{out}/fct_subscription_monthly_snapshots"))
+    marts, out = written
+    path = mart_path(marts.spark, out, "fct_subscription_monthly_snapshots")
+    assert any(d.startswith("snapshot_quarter=") for d in os.listdir(path))
     assert set(os.listdir(f"{out}/_shared")) == set(SHARED)
 
 

@@ -19,7 +19,8 @@ QUERIES = {name: q for name, q in entrypoint.queries().items() if name in SURVEY
 SAMPLE = (
     "scan_raw_tables", "date_spine", "calendar_of_column", "mart_written_and_read",
     "polymorphic_lookup", "sku_over_bridge", "merge_aggregates_by_key", "reconcile_two_systems",
-    "exact_median", "date_hierarchy_totals", "latest_period_only", "dedup_first_per_key",
+    "mart_versions", "bucketed_fact_join", "median_by_ranks", "distinct_states_by_partner_and_total",
+    "kpi_churn_rate_by_quarter", "measure_snapshot_subscriptions_count", "exact_median", "date_hierarchy_totals", "latest_period_only", "dedup_first_per_key",
     "f_month_series", "f_card_expired", "metric_gmv_sar", "metric_churn_rate",
     "metric_customers_with_outstanding_payments", "metric_median_order_to_delivery_days",
     "metric_filled_periods", "kpi_upgrade_rate_by_partner", "kpi_outstanding_by_partner",

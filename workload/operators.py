@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from datetime import date
-from tempfile import mkdtemp
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
 from subscope.functions import clean, dates, flags, ratios
 from subscope.operators import aggs, joins, sets
-from subscope.plans import conform
+from subscope.operators.medians import median_by_ranks
+from subscope.plans import conform, kpis
 from subscope.plans.staging import rename_project
 from subscope.plans.warehouse import shared_folder
 from subscope.schemas import RAW_TABLES
+from subscope.session import scratch_root
 from subscope.sources.calendar import calendar_for, spine_of
 from subscope.sources.raw import live_rows
-from subscope.sources.sinks import register_view, write_mart
+from subscope.sources.sinks import read_mart, register_view, write_bucketed, write_mart
 from workload.base import AS_OF, query
 
 # --- scans and sinks -------------------------------------------------------------------
@@ -76,9 +78,19 @@ def _(w):
 
 
 def _scratch(w) -> str:
-    """Shared folder of the run; only a session without one (tests) uses a local folder."""
-    named = w.spark.conf.get("spark.checkpoint.dir", None) or w.spark.sparkContext.getCheckpointDir()
-    return shared_folder(w.spark, named or mkdtemp(prefix="subscope-"))
+    return shared_folder(w.spark, scratch_root(w.spark))
+
+
+def _kept(w):
+    """Writes a table to the shared folder and reads it back."""
+    folder = _scratch(w)
+
+    def keep(df):
+        path = f"{folder}/{uuid4().hex}"
+        df.write.parquet(path)
+        return w.spark.read.schema(df.schema).parquet(path)
+
+    return keep
 
 
 @query("mart_written_and_read", "S8", "S10")
@@ -95,6 +107,40 @@ def _(w):
     )
 
 
+@query("mart_versions", "S8", "S10")
+def _(w):
+    """Two refreshes of a mart: what a reader of each version gets."""
+    folder, rows = _scratch(w), w["fct_subscriptions"].withColumn("year", F.year("subscription_date"))
+    write_mart(rows.where("is_active_subscription"), folder, "fct_subscriptions", ["year"])
+    write_mart(rows, folder, "fct_subscriptions", ["year"])
+
+    def counted(version, name):
+        return read_mart(w.spark, folder, "fct_subscriptions", version).groupBy("year").agg(
+            F.lit(name).alias("version"), aggs.count_rows().alias("subscriptions"))
+
+    return counted(1, "first").union(counted(None, "current"))
+
+
+@query("bucketed_fact_join", "J1", "J6", "S8")
+def _(w):
+    """Items met with their orders in tables bucketed on the order: neither side is shuffled for the join."""
+    folder, run = _scratch(w), uuid4().hex
+    orders, items = (
+        w.spark.table(write_bucketed(df, f"subscope_{name}_{run}", ["order_id"], 8, f"{folder}/{name}"))
+        for name, df in (
+            ("orders", w["fct_orders"].select("order_id", "sales_channel", "is_gmv_eligible")),
+            ("items", w["fct_order_items"].select("order_id", "order_item_id")),
+        )
+    )
+    return bucketed_items(orders, items)
+
+
+def bucketed_items(orders, items):
+    met = items.hint("merge").join(orders, "order_id")
+    return met.groupBy("sales_channel").agg(
+        aggs.count_rows().alias("items"), aggs.count_where("is_gmv_eligible").alias("eligible_items"))
+
+
 @query("view_registered", "S9")
 def _(w):
     view = "subscope_stg_payments"
@@ -412,6 +458,24 @@ def _(w):
     )
 
 
+@query("median_by_ranks", "A10", "ME7", "KP5")
+def _(w):
+    """Median of a measure with as many values as rows."""
+    return median_by_ranks(
+        w["fct_orders"], ["sales_channel"], F.col("gmv_amount_sar"), "median_gmv_sar", bound=1 << 12, keep=_kept(w))
+
+
+@query("distinct_states_by_partner_and_total", "A5", "A6", "U3", "ME39", "KP24")
+def _(w):
+    """Customers that owe, by partner and in total, from one table of bitmaps."""
+    state = kpis.outstanding_state(w, _kept(w))
+    partner = "channel_partner__partner_name"
+    return (
+        kpis.outstanding_from(w, state, [partner]).withColumn("level", F.lit("partner"))
+        .unionByName(kpis.outstanding_from(w, state).withColumns({"level": F.lit("total"), partner: F.lit(None).cast("string")}))
+    )
+
+
 @query("exact_median", "A10")
 def _(w):
     days = dates.whole_days(F.to_date("created_at"), "delivered_at")
