@@ -5,6 +5,12 @@ hold benchmark passages, mask secrets, encode and decode. Each takes (spark, doc
 returns a DataFrame, which is written as Parquet and read again as the next one's docs. All but
 the last return the columns of ``documents``; the last returns doc_id, n_tokens, ids_sha256 and
 decoded_sha256.
+
+Defined cases. Null and empty texts have no quality and go in the first stage. Null ids are kept; of rows with one
+null or repeated id and the same words one stays, rows with one id and different words are different
+documents. Documents of a language without trusted text are kept. Ties do not matter: copies are equal for
+every stage after the second. An empty table gives an empty result. Other columns are handed
+on as they are whatever their names, also those a stage uses itself; n_chars follows the masked text.
 """
 
 from __future__ import annotations
@@ -68,6 +74,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to documents."""
     scratch = Scratch(spark)
     docs = _table(spark, sf_dir, "documents")
+    written = None
     for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))
+        scratch.drop(written)
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)

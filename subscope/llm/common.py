@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subscope.session import scratch_root
+
 U64 = np.uint64
 #: Fixed odd constants of the hashes; any odd numbers do.
 BASE = 0x9E3779B97F4A7C15
@@ -28,15 +30,6 @@ BITMAP_BITS = 1 << 27
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; one of our own only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def ship(spark: SparkSession) -> None:
     """Let Python workers find this package where the driver found it (a cluster has it installed or as py-files)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -66,11 +59,11 @@ class Scratch:
         out._scratch_path = path  # noqa: SLF001
         return out
 
-    def drop(self, *frames: DataFrame) -> None:
+    def drop(self, *frames: DataFrame | None) -> None:
         """Remove tables that nothing lazy reads any more."""
         jvm = self.spark.sparkContext._jvm  # noqa: SLF001
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-        for frame in frames:
+        for frame in (f for f in frames if f is not None):
             path = jvm.org.apache.hadoop.fs.Path(frame._scratch_path)  # noqa: SLF001
             path.getFileSystem(conf).delete(path, True)
 
@@ -187,10 +180,19 @@ def words(
 def word_hashes(
     data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _SPACE
 ) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per word with A-Z lower-cased, and where the words of each row begin."""
+    """A hash per word with A-Z lower-cased, and where the words of each row begin.
+
+    Distinct words are found by their bytes and hashed whole; a polynomial modulo 2**64 would give some
+    different long words, such as those of Thue and Morse, one hash.
+    """
     starts, ends, rows = words(data, bounds, between)
-    sums = prefix_hash(_LOWER[data])
-    return range_hash(sums, starts, ends), rows
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    own = np.ascontiguousarray(_LOWER[data[~between[data]]])
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(own)])
+    encoded = column.dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, encoded.dictionary.to_pylist()), np.uint64, len(encoded.dictionary))
+    return hashes[encoded.indices.to_numpy()] if len(starts) else hashes, rows
 
 
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * U64(BASE)) | U64(1)

@@ -15,8 +15,9 @@ transpose counts overlaps. Two sets link when ``100 * overlap >= SIMILARITY * un
 4. *Overlaps.* The full rows of a pair are multiplied block by block; a pair is discarded as soon as
    what it has plus what is left stays below its bound.
 5. *Rounds.* In columns whose sets lie in different components of the links so far, a few sets chosen
-   by hash are paired with those of other components (``CHOSEN``). That joins up large groups of
-   near copies at a cost that grows with the group, not with its square.
+   by hash are paired with those of other components (``CHOSEN``). All columns rank their sets in one order, so
+   columns that hold the same sets choose the same ones, and their pairs fall together. That joins up
+   large groups of near copies at a cost that grows with the group, not with its square.
 6. *The rest.* Pairs that share a column but still lie in different components are multiplied too.
    Pairs inside one component need no count, as only components are reported.
 
@@ -30,11 +31,13 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subscope.llm.common import (
     MIX_1, Scratch, bitmap_of, components, in_bitmap, mix, pieces, shingles, strings, word_hashes,
@@ -280,12 +283,11 @@ def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int
     return both.select("a", "b", "row_a", "row_b").mapInArrow(verify, "a long, b long")
 
 
-def similarity_components(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS, similarity: int = SIMILARITY
-) -> DataFrame:
-    """Per document: its id, n_shingles, and component_id, the least id its links lead to."""
+def linked_sets(
+    docs: DataFrame, id_col: str, text: str, k: int, similarity: int, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """(id, fp, n) of every row, and (node, component) of the sets that are linked with another."""
     spark = docs.sparkSession
-    scratch = Scratch(spark)
     described = scratch.keep(describe(docs, id_col, text, k))
     rows = described.where("kind = 0").select("id", F.col("key").alias("fp"), "n")
     often = (
@@ -303,45 +305,67 @@ def similarity_components(
         .join(in_columns, "fp", "left_semi").dropDuplicates(["fp"])
     )
 
-    def multiplied(pairs: DataFrame) -> DataFrame:
+    def multiplied(pairs: DataFrame) -> DataFrame | None:
         close = scratch.keep(within_bounds(pairs, sizes, similarity))
-        return scratch.keep(linked(docs, close, text, k, similarity)) if not close.isEmpty() else close
+        found = scratch.keep(linked(docs, close, text, k, similarity)) if not close.isEmpty() else None
+        scratch.drop(close)
+        return None if found is None or found.isEmpty() else found
 
-    tried = scratch.keep(
+    done = [scratch.keep(
         columns.where("fp <> c_fp").where(possible("", "c_", similarity))
         .select(F.least("c_fp", "fp").alias("a"), F.greatest("c_fp", "fp").alias("b")).distinct()
-    )
-    links = multiplied(tried)
-    label = components(spark, links, scratch)
+    )]
+    links = [found for found in [multiplied(done[0])] if found is not None]
+
+    def labelled() -> DataFrame:
+        both = reduce(DataFrame.union, links) if links else done[0].select("a", "b").limit(0)
+        return components(spark, both, scratch)
+
+    label = labelled()
     open_ = columns.select("h", "fp", "n", "at")
+    of_open: DataFrame | None = None
     for round_ in range(len(CHOSEN) + 1):
         placed = scratch.keep(open_.join(label, F.col("fp") == F.col("node"), "left").select(
             "h", "fp", "n", "at", F.coalesce("component", "fp").alias("part")))
         apart = placed.groupBy("h").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("h")
-        open_ = scratch.keep(placed.join(apart, "h", "left_semi"))
+        kept = scratch.keep(placed.join(apart, "h", "left_semi"))
+        scratch.drop(placed, of_open)
+        open_ = of_open = kept
         right = open_.select("h", *(F.col(c).alias(f"b_{c}") for c in ("fp", "n", "at", "part")))
         if round_ < len(CHOSEN):
-            by_hash = Window.partitionBy("h").orderBy(F.xxhash64(F.lit(round_), "h", "fp"))
+            # one order of sets for all columns, so that columns with the same sets choose the same ones
+            by_hash = Window.partitionBy("h").orderBy(F.xxhash64(F.lit(round_), "fp"), "fp")
             chosen = open_.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= CHOSEN[round_])
             left = chosen.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
             once = F.col("a_fp") != F.col("b_fp")
         else:
             left = open_.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
             once = F.col("a_fp") < F.col("b_fp")
-        pairs = scratch.keep(
+        pairs = (
             left.join(right, (left.h == right.h) & once & (F.col("a_part") != F.col("b_part")) & possible("a_", "b_", similarity))
             .select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti")
         )
+        for earlier in done:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        pairs = scratch.keep(pairs)
+        done.append(pairs)
         open_ = open_.drop("part")
         if pairs.isEmpty():
             continue
-        tried = tried.union(pairs)
-        more = multiplied(pairs)
-        if not more.isEmpty():
-            links = links.union(more)
-            label = components(spark, links, scratch)
+        if (more := multiplied(pairs)) is not None:
+            links.append(more)
+            label = labelled()
+    if links:
+        label = scratch.keep(label)
+    scratch.drop(columns, sizes, of_open, *done, *links)
+    return rows, label
+
 
+def similarity_components(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS, similarity: int = SIMILARITY
+) -> DataFrame:
+    """Per document: its id, n_shingles, and component_id, the least id its links lead to."""
+    rows, label = linked_sets(docs, id_col, text, k, similarity, Scratch(docs.sparkSession))
     classes = rows.where("fp is not null").groupBy("fp").agg(F.min("id").alias("least"))
     labelled = classes.join(label, classes.fp == label.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("part"))
@@ -352,18 +376,51 @@ def similarity_components(
         F.coalesce("component_id", "id").alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def with_marks(docs: DataFrame, text: str, k: int, fp: str, maybe: str, bitmap) -> DataFrame:
+    """``docs`` with the fingerprint of each row's shingle set, and whether the bitmap may hold it; null and false without shingles."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(at)
+            for low, high, _, _, count, prints in shingle_rows(column if pa.types.is_string(column.type) else column.cast(pa.string()), k):
+                part = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(prints.view(np.int64), mask=count == 0), pa.array(in_bitmap(bitmap.value, prints) & (count > 0))],
+                    names=[*part.schema.names, fp, maybe])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType()), T.StructField(maybe, T.BooleanType())]))
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS, similarity: int = SIMILARITY
+) -> DataFrame:
     """One row of each component: that with the least id, null ids last, and one of rows with the same id.
-    A row without shingles is a component of its own."""
-    scratch = Scratch(docs.sparkSession)
-    key = "row_key"
-    while key in docs.columns:
-        key += "_"
-    keyed = scratch.keep(docs.withColumn(key, F.monotonically_increasing_id()))  # written, so that a row keeps its key
-    group = similarity_components(keyed, key, text).select(F.col(key).alias("k"), F.col("component_id").alias("part"))
-    keep = (
-        group.join(keyed.select(F.col(key), F.col(id_col).alias("id")), F.col("k") == F.col(key))
-        .groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k")).alias("least"))
-        .select("least.k")
-    )
-    return keyed.join(keep, F.col(key) == F.col("k"), "left_semi").drop(key)
+
+    A row without shingles is a component of its own. Texts of rows that are alone in their component are not
+    moved: a bitmap of fixed size finds the others, and only those meet the table of kept rows. Columns
+    may have any names.
+    """
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    rows, label = linked_sets(docs, id_col, text, k, similarity, scratch)
+    placed = rows.where("fp is not null").join(label, F.col("fp") == F.col("node"), "left").select(
+        "id", "fp", F.coalesce("component", "fp").alias("part"))
+    groups = placed.groupBy("part").agg(
+        F.count("*").alias("size"),
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "fp")).alias("least")).where("size > 1")
+    sets = scratch.keep(
+        placed.select("fp", "part").distinct().join(groups, "part").select("fp", F.col("least.id").alias("least_id"), F.col("least.fp").alias("least_fp")))
+    grouped = spark.sparkContext.broadcast(bitmap_of(sets.select("fp")))
+
+    fresh = lambda name: name if name not in docs.columns else fresh(name + "_")
+    fp, maybe, least_id, least_fp, place = (fresh(c) for c in ("set_fp", "maybe_grouped", "least_id", "least_fp", "row_place"))
+    marked = with_marks(docs, text, k, fp, maybe, grouped)
+    lookup = sets.select(F.col("fp").alias(fp), F.col("least_id").alias(least_id), F.col("least_fp").alias(least_fp))
+    # a set that the bitmap lets through wrongly has one row, which stays
+    candidates = marked.where(F.col(maybe)).join(lookup, fp, "left").where(F.col(least_fp).isNull() | (
+        (F.col(fp) == F.col(least_fp)) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(least_id))))
+    # rows of one id and one set are rows that repeat: the first by its text stays
+    first = Window.partitionBy(fp).orderBy(F.xxhash64(F.col(f"`{text}`")), F.col(f"`{text}`"))
+    chosen = candidates.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.where(~F.col(maybe)).select(*own).union(chosen.select(*own))

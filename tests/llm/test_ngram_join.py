@@ -101,3 +101,44 @@ def test_one_row_of_each_group_with_null_ids_and_repeated_rows(spark, odd):
     got = nj.one_of_each_group(frame)
     assert got.columns == frame.columns
     assert sorted((r.row_key, r.doc_id) for r in got.collect()) == [(0, None), (1, None), (2, 5), (3, 7), (4, 5), (5, None), (6, None)]
+
+
+def thue_morse(n: int) -> str:
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_words_that_a_polynomial_would_confuse_are_not_linked(spark):
+    one = thue_morse(1024)
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, f"{one} b c d e f"), (4, f"{other} b c d e f"), (5, one)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [(i, c) for i, _, c in got(frame)] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 1)]
+
+
+def test_pairs_of_a_large_group_grow_with_the_group(spark, monkeypatch):
+    """2,000 near copies of one text: the pairs that are multiplied are a small multiple of the group."""
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(2000):
+        text = list(base)
+        for _ in range(rng.choice((1, 1, 2))):
+            text[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    tried = []
+    usual = nj.within_bounds
+    monkeypatch.setattr(nj, "within_bounds", lambda pairs, *a: (tried.append(pairs.count()), usual(pairs, *a))[1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert {c for _, _, c in got(frame)} == {0}
+    assert sum(tried) < 30 * len(rows), tried
+
+
+def test_clashing_columns_keep_their_values(spark, near_copies):
+    names = ["k", "fp", "h", "a", "b", "id", "set_fp", "least_id", "row_place", "maybe_grouped"]
+    frame = spark.createDataFrame(near_copies, "doc_id long, text string").selectExpr("*", *(f"doc_id + {i} as `{c}`" for i, c in enumerate(names)))
+    kept = nj.one_of_each_group(frame).collect()
+    assert all(tuple(r)[2:] == tuple(r.doc_id + i for i in range(len(names))) for r in kept)
+    assert sorted(r.doc_id for r in kept) == sorted({c for _, _, c in brute(near_copies)})
