@@ -180,19 +180,39 @@ def words(
 def word_hashes(
     data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _SPACE
 ) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per word with A-Z lower-cased, and where the words of each row begin.
+    """A hash per word with A-Z lower-cased, and where the words of each row begin."""
+    starts, ends, rows = words(data, bounds, between)
+    return byte_hashes(_LOWER[data], starts, ends), rows
+
+
+#: Longer words are hashed one by one.
+_BLOCKWISE = 256
+
 
-    Distinct words are found by their bytes and hashed whole; a polynomial modulo 2**64 would give some
-    different long words, such as those of Thue and Morse, one hash.
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash per byte range, eight bytes at a time, every block mixed into what came before.
+
+    A polynomial modulo 2**64 would give some different long words, such as those of Thue and Morse, one hash.
     """
-    starts, ends, rows = words(data, bounds, between)
-    offsets = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(ends - starts, out=offsets[1:])
-    own = np.ascontiguousarray(_LOWER[data[~between[data]]])
-    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(own)])
-    encoded = column.dictionary_encode()
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, encoded.dictionary.to_pylist()), np.uint64, len(encoded.dictionary))
-    return hashes[encoded.indices.to_numpy()] if len(starts) else hashes, rows
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    windows = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    lengths = ends - starts
+    out = lengths.astype(np.uint64) * MIX_2 + U64(BASE)
+    open_ = np.flatnonzero((lengths > 0) & (lengths <= _BLOCKWISE))
+    at, left, value = starts[open_], lengths[open_], out[open_]
+    while len(open_):
+        last = left <= 8
+        rest = U64(64) - (np.minimum(left, 8) * 8).astype(np.uint64)
+        value = (value ^ (windows[at] & (~U64(0) >> rest))) * MIX_1
+        value ^= value >> U64(29)
+        out[open_[last]] = value[last]
+        more = ~last
+        open_, at, left, value = open_[more], at[more] + 8, left[more] - 8, value[more]
+    out = mix(out)
+    for i in np.flatnonzero(lengths > _BLOCKWISE).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
 
 
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * U64(BASE)) | U64(1)

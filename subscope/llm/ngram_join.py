@@ -250,8 +250,8 @@ def within_bounds(pairs: DataFrame, sizes: DataFrame, similarity: int) -> DataFr
     return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "x", "y", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) of fingerprints whose sets link."""
+def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of fingerprints whose sets link. The wanted rows are made in one pass over the texts and written."""
     spark = docs.sparkSession
     wanted = spark.sparkContext.broadcast(bitmap_of(pairs.select("a").union(pairs.select("b")).distinct()))
 
@@ -277,10 +277,13 @@ def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    sets = docs.select(F.col(text).cast("string")).mapInArrow(rows, "fp long, row binary").dropDuplicates(["fp"])
+    sets = scratch.keep(
+        docs.select(F.col(text).cast("string")).mapInArrow(rows, "fp long, row binary").dropDuplicates(["fp"]))
     with_b = pairs.join(sets.select(F.col("fp").alias("b"), F.col("row").alias("row_b")), "b")
     both = with_b.join(sets.select(F.col("fp").alias("a"), F.col("row").alias("row_a")), "a")
-    return both.select("a", "b", "row_a", "row_b").mapInArrow(verify, "a long, b long")
+    found = scratch.keep(both.select("a", "b", "row_a", "row_b").mapInArrow(verify, "a long, b long"))
+    scratch.drop(sets)
+    return found
 
 
 def linked_sets(
@@ -307,7 +310,7 @@ def linked_sets(
 
     def multiplied(pairs: DataFrame) -> DataFrame | None:
         close = scratch.keep(within_bounds(pairs, sizes, similarity))
-        found = scratch.keep(linked(docs, close, text, k, similarity)) if not close.isEmpty() else None
+        found = linked(docs, close, text, k, similarity, scratch) if not close.isEmpty() else None
         scratch.drop(close)
         return None if found is None or found.isEmpty() else found
 
@@ -344,9 +347,8 @@ def linked_sets(
         pairs = (
             left.join(right, (left.h == right.h) & once & (F.col("a_part") != F.col("b_part")) & possible("a_", "b_", similarity))
             .select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
+            .join(reduce(DataFrame.union, done), ["a", "b"], "left_anti")
         )
-        for earlier in done:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = scratch.keep(pairs)
         done.append(pairs)
         open_ = open_.drop("part")
