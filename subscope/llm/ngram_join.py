@@ -53,7 +53,7 @@ FREQUENT = 1 << 19
 BLOCKS = 4
 SIZE_BLOCKS = 256
 #: Sets chosen by hash in each open column, round by round.
-CHOSEN = (1, 4, 16)
+CHOSEN = (2, 12)
 
 
 def shingle_rows(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
