@@ -18,7 +18,10 @@ transpose counts overlaps. Two sets link when ``100 * overlap >= SIMILARITY * un
    by hash are paired with those of other components (``CHOSEN``). All columns rank their sets in one order, so
    columns that hold the same sets choose the same ones, and their pairs fall together. That joins up
    large groups of near copies at a cost that grows with the group, not with its square.
-6. *The rest.* Pairs that share a column but still lie in different components are multiplied too.
+6. *The rest.* Pairs that share a column but still lie in different components are multiplied too, unless
+   their parities tell them apart: every shingle flips one of ``PARITIES`` bits of its row, so two rows differ
+   in at least as many shingles as their bits differ, and linked rows differ in at most
+   ``n + m - 2 * least overlap``. The join on the column compares the bits and makes no row for the others.
    Pairs inside one component need no count, as only components are reported.
 
 Rows are 64-bit fingerprints of shingle sets and columns 64-bit hashes of shingles; equal sets
@@ -52,6 +55,8 @@ COUNT_ENTRIES = 2_500_000
 FREQUENT = 1 << 19
 BLOCKS = 4
 SIZE_BLOCKS = 256
+#: Bits of a row's parity, in words of 64.
+PARITIES = 1024
 #: Sets chosen by hash in each open column, round by round.
 CHOSEN = (2, 12)
 
@@ -95,9 +100,27 @@ def most_overlap(a: bytes, b: bytes) -> int:
     return int(np.minimum(x, y).sum(dtype=np.int64))
 
 
+def parities(row: np.ndarray, value: np.ndarray, rows: int) -> pa.Array:
+    """Per row its ``PARITIES`` bits as an array of longs; the shingles come sorted by row and value."""
+    words = PARITIES // 64
+    place = value >> np.uint64(64 - PARITIES.bit_length() + 1)
+    word = row * words + (place >> np.uint64(6)).astype(np.int64)  # ascending, as the shingles are
+    out = np.zeros(rows * words, np.uint64)
+    if len(word):
+        starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        out[word[starts]] = np.bitwise_xor.reduceat(np.uint64(1) << (place & np.uint64(63)), starts)
+    return pa.ListArray.from_arrays(np.arange(0, len(out) + 1, words, dtype=np.int32), pa.array(out.view(np.int64)))
+
+
+def differing(a: str, b: str):
+    """The least number of shingles in which two rows differ (columns of their parities)."""
+    return reduce(lambda x, y: x + y, (
+        F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(PARITIES // 64)))
+
+
 def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """Rows (kind 0, id, fingerprint or null, n, block sizes) per document and
-    (kind 1, null, shingle, count, null) of frequent shingles."""
+    """Rows (kind 0, id, fingerprint or null, n, block sizes, parities) per document and
+    (kind 1, null, shingle, count, null, null) of frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -108,16 +131,17 @@ def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             many = count >= FREQUENT_LOCAL
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(many.sum(), np.int32)), pa.nulls(int(many.sum()), pa.int64()),
-                 pa.array(value[many].view(np.int64)), pa.array(count[many]), pa.nulls(int(many.sum()), pa.binary())],
-                names=["kind", "id", "key", "n", "sizes"])
+                 pa.array(value[many].view(np.int64)), pa.array(count[many]), pa.nulls(int(many.sum()), pa.binary()),
+                 pa.nulls(int(many.sum()), pa.list_(pa.int64()))],
+                names=["kind", "id", "key", "n", "sizes", "bits"])
 
         for batch in batches:
             for low, high, row, value, count, prints in shingle_rows(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(high - low, np.int32)), batch.column(0).slice(low, high - low),
                      pa.array(prints.view(np.int64), mask=count == 0), pa.array(count.astype(np.int64)),
-                     pa.array(block_sizes(row, value, high - low), pa.binary())],
-                    names=["kind", "id", "key", "n", "sizes"])
+                     pa.array(block_sizes(row, value, high - low), pa.binary()), parities(row, value, high - low)],
+                    names=["kind", "id", "key", "n", "sizes", "bits"])
                 held.append(value)
                 entries += len(value)
                 if entries >= COUNT_ENTRIES:
@@ -127,7 +151,7 @@ def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             yield frequent()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string")).mapInArrow(
-        run, "kind int, id long, key long, n long, sizes binary")
+        run, "kind int, id long, key long, n long, sizes binary, bits array<long>")
 
 
 def prefix_entries(docs: DataFrame, text: str, k: int, similarity: int, frequent) -> DataFrame:
@@ -304,7 +328,7 @@ def linked_sets(
     columns = scratch.keep(shared_columns(prefix_entries(docs, text, k, similarity, frequent)))
     in_columns = columns.select("fp").distinct()
     sizes = scratch.keep(
-        described.where("kind = 0").select(F.col("key").alias("fp"), "n", "sizes")
+        described.where("kind = 0").select(F.col("key").alias("fp"), "n", "sizes", "bits")
         .join(in_columns, "fp", "left_semi").dropDuplicates(["fp"])
     )
 
@@ -334,18 +358,23 @@ def linked_sets(
         kept = scratch.keep(placed.join(apart, "h", "left_semi"))
         scratch.drop(placed, of_open)
         open_ = of_open = kept
-        right = open_.select("h", *(F.col(c).alias(f"b_{c}") for c in ("fp", "n", "at", "part")))
+        separate, names = F.col("a_part") != F.col("b_part"), ("fp", "n", "at", "part")
         if round_ < len(CHOSEN):
             # one order of sets for all columns, so that columns with the same sets choose the same ones
             by_hash = Window.partitionBy("h").orderBy(F.xxhash64(F.lit(round_), "fp"), "fp")
             chosen = open_.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= CHOSEN[round_])
-            left = chosen.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
+            right = open_
             once = F.col("a_fp") != F.col("b_fp")
         else:
-            left = open_.select("h", *(F.col(c).alias(f"a_{c}") for c in ("fp", "n", "at", "part")))
-            once = F.col("a_fp") < F.col("b_fp")
+            chosen = right = open_.join(sizes.select("fp", "bits"), "fp")
+            names = (*names, "bits")
+            n, m = F.col("a_n").cast("long"), F.col("b_n").cast("long")
+            least = F.ceil(similarity * (n + m) / F.lit(100 + similarity)).cast("long")
+            once = (F.col("a_fp") < F.col("b_fp")) & (differing("a_bits", "b_bits") <= n + m - 2 * least)
+        left = chosen.select("h", *(F.col(c).alias(f"a_{c}") for c in names))
+        right = right.select("h", *(F.col(c).alias(f"b_{c}") for c in names))
         pairs = (
-            left.join(right, (left.h == right.h) & once & (F.col("a_part") != F.col("b_part")) & possible("a_", "b_", similarity))
+            left.join(right, (left.h == right.h) & separate & possible("a_", "b_", similarity) & once)
             .select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
             .join(reduce(DataFrame.union, done), ["a", "b"], "left_anti")
         )

@@ -142,3 +142,30 @@ def test_clashing_columns_keep_their_values(spark, near_copies):
     kept = nj.one_of_each_group(frame).collect()
     assert all(tuple(r)[2:] == tuple(r.doc_id + i for i in range(len(names))) for r in kept)
     assert sorted(r.doc_id for r in kept) == sorted({c for _, _, c in brute(near_copies)})
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (0, 1, 7, 300, 310, 1500, 2900)]
+    sets.append(sets[3])
+    row = np.concatenate([np.full(len(s), i) for i, s in enumerate(sets)])
+    bits = nj.parities(row, np.concatenate(sets), len(sets)).to_pylist()
+    for a, x in zip(sets, bits, strict=True):
+        for b, y in zip(sets, bits, strict=True):
+            differ = sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(x, y, strict=True))
+            assert differ <= len(np.setxor1d(a, b)) and (differ == 0 or not np.array_equal(a, b))
+
+
+def test_group_that_is_not_near_enough(spark, monkeypatch):
+    """Texts that share a long passage and differ in a quarter of their shingles: all pairs meet, few go on."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aeiourst") for _ in range(4))
+    passage = [word() for _ in range(90)]
+    rows = [(i, " ".join(passage + [word() for _ in range(30 if i % 10 else 4)])) for i in range(120)]
+    tried = []
+    bound = nj.within_bounds
+    monkeypatch.setattr(nj, "within_bounds", lambda pairs, *more: tried.append(pairs.count()) or bound(pairs, *more))
+    monkeypatch.setattr(nj, "CHOSEN", ())
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert sum(tried) < 10 * len(rows) < len(rows) ** 2 / 4
