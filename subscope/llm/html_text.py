@@ -10,12 +10,14 @@ The potentials are counted on labelled pages: a bounded sample of ``SAMPLE`` pag
 the page) that mark their article themselves, whose labels are that mark, with everything below
 ``LABEL_NOISE`` elements labelled boilerplate. On other pages the same potentials work without the
 mark. Fixed prior counts for the tags and class words of ``PRIOR_WORDS`` stand in for what the
-sample does not show.
+sample does not show. Names are read as wholes: ``no-ads`` says nothing, ``site-footer`` is noise, and one that only
+holds a noise word, like ``tags-travel``, is noise unless its element holds most of the page's words (``Page.noise``).
 
 Defined cases: a null or empty page and one without content have an empty text; scripts, styles,
 templates, comments and markup are never text; unclosed and misnested tags are closed by the usual
-rules; entities are decoded; equal rows give equal results; other columns are ignored; without
-labelled pages the prior alone decides.
+rules; a tag with a quote that never ends stops at its first ``>``; any page is read in linear time;
+entities are decoded; equal rows give equal results; other columns are ignored; without labelled pages
+the prior alone decides.
 """
 
 from __future__ import annotations
@@ -71,82 +73,165 @@ STRUCTURE = BLOCK - {
 #: Most that the parts of a potential can say (log-odds): a fixed noise word outweighs what many paragraphs below it say.
 NAMED, MARKED, STRUCTURAL, TEXTUAL = 30.0, 6.0, 1.0, 0.5
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OTHER = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)"
+#: A quote opens a value only behind "="; a tag whose quotes leave no end for it ends at its first ">" (fourth group).
+_TAG = re.compile(_OTHER + r"(?:((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>|([^>]*+)>)", re.S)
+_PLAIN_TAG = re.compile(_OTHER + r"([^>]*+)>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _NOISE = frozenset(PRIOR_WORDS[False])
+_MARKS = frozenset(PRIOR_WORDS[True])
+#: A name that starts with one of these says what a page has or lacks, not what the element is.
+MODIFIERS = {"no", "non", "not", "without", "has", "have", "with", "hide", "show", "is"}
+#: What the names of an element say of it: nothing, a compound that may be noise, noise.
+SAYS_NOTHING, MAY_BE_NOISE, IS_NOISE = 0, 1, 2
+
+
+def names_of(attributes: str) -> tuple[int, tuple[str, ...], tuple[str, ...], bool]:
+    """What an element's names say: of noise, the words to go by, those to go by if it is no noise, and whether
+    one names an article.
+
+    A name of one word, or one that ends in a noise word (``site-footer``), is taken at its word. One that only
+    holds such a word (``tags-travel``) may be noise, and one with a modifier (``no-ads``) says nothing.
+    """
+    says, marked = SAYS_NOTHING, False
+    words: dict[str, None] = {}
+    sure: dict[str, None] = {}
+    for name in " ".join("".join(x) for x in _NAMES.findall(attributes)).lower().split():
+        parts = _WORD.findall(name)
+        if len(parts) > 1 and parts[0] in MODIFIERS:
+            continue
+        words.update(dict.fromkeys(parts))
+        if not _NOISE.intersection(parts):
+            sure.update(dict.fromkeys(parts))
+            marked = marked or (len(parts) == 1 and parts[0] in _MARKS)
+        elif parts[-1] in _NOISE:
+            says = IS_NOISE
+        else:
+            says = max(says, MAY_BE_NOISE)
+    return says, tuple(words), tuple(sure), marked
 
 
 class Page:
-    """Elements of a page (parent, tag, words) and its text runs (text, element, block number)."""
+    """Elements of a page (parent, tag, words, what their names say) and its text runs (text, element, block number).
+
+    Reading takes time in proportion to the page: the depths of open elements are kept by tag.
+    """
 
     def __init__(self, source: str):
         self.parent, self.tag, self.words = [-1], ["#root"], [()]
+        self.sure: list[tuple[str, ...]] = [()]
+        self.says, self.marked = [SAYS_NOTHING], [False]
         self.runs: list[tuple[str, int, int]] = []
         self._open = [0]
+        self._depths: dict[str, list[int]] = {}
+        self._blocks = [0]  # depths of open blocks
+        self._silent = 0
         self._block = 0
         self._parse(source)
 
     def _parse(self, source: str) -> None:
-        at, silent = 0, 0
-        find = _TAG.search
+        at, find = 0, _TAG.search
+        stop = source.rfind(">") + 1  # no tag ends behind it
         while True:
-            m = find(source, at)
-            end = m.start() if m else len(source)
-            if end > at and not silent:
+            m = find(source, at, stop)
+            if not m and (comment := source.find("<!--", max(at, stop))) >= 0:
+                end = comment
+            else:
+                end = m.start() if m else len(source)
+            if end > at and not self._silent:
                 self.runs.append((source[at:end], self._open[-1], self._block))
             if not m:
                 return
             at = m.end()
             if m[2] is None:
+                if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    return  # a comment without an end takes the rest
                 continue
+            attributes = m[3]
+            if attributes is None:
+                attributes, find = m[4], _PLAIN_TAG.search
             name = m[2].lower()
             if m[1]:
                 if name in BLOCK or name == "br":
                     self._block += 1
                 self._close(name)
-            else:
+                continue
+            if name in BLOCK:
+                self._block += 1
+                self._implied(name)
+            elif name == "br" and not self._silent:
+                self.runs.append((" ", self._open[-1], self._block))
+            if name in RAW and not attributes.endswith("/"):
+                closing = re.compile(rf"</{re.escape(name)}\s*+>", re.I).search(source, at)
+                at = closing.end() if closing else len(source)
+                continue
+            if name in VOID:
+                continue
+            said = names_of(attributes) if "=" in attributes else (SAYS_NOTHING, (), (), False)
+            for column, value in zip((self.says, self.words, self.sure, self.marked), said, strict=True):
+                column.append(value)
+            self.parent.append(self._open[-1])
+            self.tag.append(name)
+            if not attributes.endswith("/") or name in BLOCK:
+                depth = len(self._open)
+                self._open.append(len(self.tag) - 1)
+                self._depths.setdefault(name, []).append(depth)
                 if name in BLOCK:
-                    self._block += 1
-                    self._implied(name)
-                elif name == "br":
-                    self.runs.append((" ", self._open[-1], self._block))
-                if name in RAW and not m[3].endswith("/"):
-                    closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-                    at = closing.end() if closing else len(source)
-                    continue
-                if name in VOID:
-                    continue
-                words: tuple = ()
-                if m[3] and "=" in m[3]:
-                    found = " ".join("".join(x) for x in _NAMES.findall(m[3])).lower()
-                    words = tuple(dict.fromkeys(_WORD.findall(found)))
-                self.parent.append(self._open[-1])
-                self.tag.append(name)
-                self.words.append(words)
-                if not m[3].endswith("/") or name in BLOCK:
-                    self._open.append(len(self.tag) - 1)
-            silent = sum(self.tag[i] in SILENT for i in self._open)
+                    self._blocks.append(depth)
+                self._silent += name in SILENT
+
+    def _cut(self, depth: int) -> None:
+        """Close all elements from this depth on."""
+        for i in self._open[depth:]:
+            self._depths[self.tag[i]].pop()
+            self._silent -= self.tag[i] in SILENT
+        while self._blocks[-1] >= depth:
+            self._blocks.pop()
+        del self._open[depth:]
+
+    def _deepest(self, tags: set[str]) -> int:
+        return max((self._depths[t][-1] for t in tags if self._depths.get(t)), default=0)
 
     def _implied(self, name: str) -> None:
         """Close what an opening block tag ends: an open paragraph, and items of the same kind in the same list or table."""
         for ends, scope in (({"p"}, SCOPE | {"button"}), (CLOSES.get(name, set()), SCOPE)):
-            for depth in range(len(self._open) - 1, 0, -1):
-                tag = self.tag[self._open[depth]]
-                if tag in ends:
-                    del self._open[depth:]
-                    break
-                if tag in scope:
-                    break
+            depth = self._deepest(ends)
+            if depth and depth >= self._deepest(scope):
+                self._cut(depth)
 
     def _close(self, name: str) -> None:
-        for depth in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[depth]]
-            if tag == name:
-                del self._open[depth:]
-                return
-            if name not in BLOCK and tag in BLOCK:
-                return  # an inline end tag does not reach out of its block
+        depth = self._deepest({name})
+        if depth and (name in BLOCK or depth > self._blocks[-1]):  # an inline end tag does not reach out of its block
+            self._cut(depth)
+
+    def noise(self) -> list[bool]:
+        """Elements whose names say that they are noise.
+
+        Of those that may be, one that holds half of the page's words outside links and noise is none, unless
+        something beside it names itself the article; within a named article it must hold nine tenths.
+        """
+        n = len(self.tag)
+        hard, in_link, above = [False] * n, [False] * n, [0] * n
+        own, marks = [0] * n, [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            hard[i] = hard[up] or self.tag[i] in LABEL_NOISE or self.says[i] == IS_NOISE
+            in_link[i] = in_link[up] or self.tag[i] == "a"
+            marks[i] = int(not hard[i] and (self.tag[i] in ARTICLE or self.marked[i]) and self.tag[i] not in ("html", "body"))
+            above[i] = above[up] + marks[up]
+        for text, node, _ in self.runs:
+            if not hard[node] and not in_link[node]:
+                own[node] += len(text.split())
+        for i in range(n - 1, 0, -1):
+            own[self.parent[i]] += own[i]
+            marks[self.parent[i]] += marks[i]
+        out = []
+        for i in range(n):
+            most = own[i] and (10 * own[i] >= 9 * own[0] if above[i] else 2 * own[i] >= own[0])
+            excused = most and marks[0] == marks[i] + above[i]
+            out.append(self.says[i] == IS_NOISE or (self.says[i] == MAY_BE_NOISE and not excused))
+        return out
 
     def features(self) -> list[list[str]]:
         """Per element, what its potential looks at."""
@@ -164,9 +249,10 @@ class Page:
             size[self.parent[i]] += size[i]
             links[self.parent[i]] += links[i]
         out = []
-        for i in range(n):
+        for i, noise in enumerate(self.noise()):
             share = 0 if not links[i] else min(3, 1 + 3 * links[i] // max(size[i], 1))
-            out.append([f"t:{self.tag[i]}", f"n:{min(size[i], 1000).bit_length()}:{share}", *(f"w:{w}" for w in self.words[i])])
+            words = [f"w:{w}" for w in (self.words if noise else self.sure)[i]]
+            out.append([f"t:{self.tag[i]}", f"n:{min(size[i], 1000).bit_length()}:{share}", *words, *(["noise"] * noise)])
         return out
 
     def labels(self) -> list[bool] | None:
@@ -174,10 +260,10 @@ class Page:
         if not any(t in ARTICLE for t in self.tag):
             return None
         out = [False] * len(self.tag)
-        spoilt = [False] * len(self.tag)
+        spoilt, noise = [False] * len(self.tag), self.noise()
         for i in range(1, len(self.tag)):
             up = self.parent[i]
-            spoilt[i] = spoilt[up] or self.tag[i] in LABEL_NOISE or bool(_NOISE.intersection(self.words[i]))
+            spoilt[i] = spoilt[up] or self.tag[i] in LABEL_NOISE or noise[i]
             out[i] = (out[up] or self.tag[i] in ARTICLE) and not spoilt[i]
         return out
 
@@ -222,8 +308,7 @@ class Model:
         else:
             said = max(0.0, min(TEXTUAL, said))
         shape = max(-TEXTUAL, min(TEXTUAL, self.odds.get(features[1], 0.0)))
-        names = [f[2:] for f in features[2:]]
-        if any(n in _NOISE for n in names):
+        if features[-1] == "noise":
             return said + shape - NAMED
         words = [self.odds[f] for f in features[2:] if f in self.odds]
         named = max(words, key=abs) if words else 0.0

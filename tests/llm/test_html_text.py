@@ -4,6 +4,7 @@ import html
 import itertools
 import math
 import re
+import time
 
 import pytest
 
@@ -39,6 +40,58 @@ def test_unmarked_page(fitted, trained):
         "A <title> & more", "First paragraph of the story. After a break.", "Second one, with a link.", "one", "two"]
 
 
+NAMES = ["post no-ads", "article form-free", "entry tags-travel", "story legal-news", "content share-enabled",
+         "main-search-results", "comment-count-3 article", "no-sidebar", "x1"]
+
+
+def unmarked(source, name):
+    return re.sub(r"<(/?)(?:article|main)\b[^>]*>", lambda m: "</div>" if m[1] else f'<div class="{name}">', source)
+
+
+def test_pages_without_a_mark_of_their_article(fitted, spark, sf_dir):
+    """The same text comes out when the article sits in a div, whatever its name holds."""
+    for i, row in enumerate(spark.read.parquet(f"{sf_dir}/pages.parquet").collect()):
+        name = NAMES[i % len(NAMES)]
+        assert h.main_text(fitted, unmarked(row.html, name)) == h.main_text(fitted, row.html), (row.page_id, name)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names_that_only_hold_a_noise_word(fitted, name):
+    story = "".join(f"<p>Sentence {i} of a story that goes on for a while.</p>" for i in range(30))
+    noise = '<div class="ad-box"><p>Buy this now</p></div><div class="site-footer"><p>All rights</p></div>'
+    for model in (fitted, h.Model()):
+        got = h.main_text(model, f'<html><body><div class="{name}">{story}</div>{noise}</body></html>').split("\n")
+        assert got == [f"Sentence {i} of a story that goes on for a while." for i in range(30)]
+
+
+def test_long_comments_beside_a_named_article(fitted):
+    comments = "".join(f'<div class="comment-body"><p>Opinion {i} of a reader who writes a lot.</p></div>' for i in range(40))
+    for inside in ("<div class='post'><p>The text itself.</p></div><div class='comment-list'>{}</div>",
+                   "<article><p>The text itself.</p><div class='comment-list'>{}</div></article>"):
+        if "article" in inside:
+            inside = inside.replace("itself.", "itself" + " and so on" * 40 + ".")
+        got = h.main_text(fitted, "<body>" + inside.format(comments) + "</body>")
+        assert got.startswith("The text itself") and "Opinion" not in got
+
+
+@pytest.mark.parametrize("source", [
+    "<p>start</p>" + "<b>" * 100_000 + "end", "<p>start</p>" + "<a \"'" * 50_000, "<p>start</p>" + '<a b="" ' * 50_000 + 'c=">"',
+    "<p>start</p>" + '<a b=">" ' * 50_000, "<i><div>" + "<b></i>" * 50_000 + "<p>start</p>", "<p>start</p>" + "<!" * 100_000,
+    "<div>" * 50_000 + "<p>start</p>" + "</p>" * 50_000])
+def test_reading_takes_linear_time(source):
+    began = time.process_time()
+    page = h.Page(source)
+    assert time.process_time() - began < 2
+    assert any("start" in text for text, _, _ in page.runs)
+
+
+def test_broken_quotes_keep_the_text():
+    for tag in ("<a title=it's>", '<a title="open>', "<a 'x\">", '<p class="x"y"z">'):
+        runs = [t for t, _, _ in h.Page(f"<p>one</p>{tag}two<p>three</p>").runs]
+        assert runs == ["one", "two", "three"], tag
+    assert [t for t, _, _ in h.Page("<a title='a > b' x=\"c > d\">two</a><!-- > three").runs] == ["two"]
+
+
 def test_marginals_are_exact(fitted):
     page = h.Page("<div><p>some words here</p><div class=nav><a>x</a></div></div>")
     own = [fitted.unary(t, f) for t, f in zip(page.tag, page.features(), strict=True)]
