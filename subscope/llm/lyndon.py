@@ -10,13 +10,17 @@ through the order: each suffix in its final place puts the suffix before it, and
 pointers lead to, next in their groups. Nothing is renamed or sorted again.
 
 A step of either phase is done for all texts of a batch side by side (one numpy lane each), so a
-batch of many short texts costs few array operations per letter.
+batch of many short texts costs few array operations per letter. Phase 2 ends the few longest
+texts of a batch one by one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Phase 2 goes on text by text once no more than these are left: a step over so few lanes costs more than its letters.
+FEW = 32
+
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of the ranges one after the other."""
@@ -112,7 +116,7 @@ def _emit(starts: np.ndarray, stops: np.ndarray, group: np.ndarray, before: np.n
     placed[stops[lanes] - 1] = True
     lengths = stops - starts
     step = 0
-    while len(lanes):
+    while len(lanes) > FEW:
         now = out[starts[lanes] + step]
         now = now[now > starts[lanes]] - 1
         now = now[~placed[now]]
@@ -126,4 +130,21 @@ def _emit(starts: np.ndarray, stops: np.ndarray, group: np.ndarray, before: np.n
             now = now[~placed[now]]
         step += 1
         lanes = lanes[lengths[lanes] > step]
+    for lane in lanes.tolist():
+        low, high = int(starts[lane]), int(stops[lane])
+        out[low:high] = _emit_one(*(x[low:high] for x in (out, group, before, free, placed)), step, low)
+    return out
+
+
+def _emit_one(out, group, before, free, placed, step: int, low: int) -> list[int]:
+    """The rest of phase 2 for one text, whose arrays hold positions from ``low`` on."""
+    out, group, before, free, placed = (x.tolist() for x in (out, group, before, free, placed))
+    for i in range(step, len(out)):
+        now = out[i] - low - 1
+        while now >= 0 and not placed[now]:
+            own = group[now] - low
+            out[free[own] - low] = now + low
+            free[own] += 1
+            placed[now] = True
+            now = before[now] - low
     return out

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from subscope.llm import lyndon
 from subscope.llm import suffix_dedup as sd
 from subscope.llm.lyndon import suffix_arrays
 
@@ -19,7 +20,12 @@ from subscope.llm.lyndon import suffix_arrays
 def test_suffix_arrays_are_sorted(texts):
     texts = [[*t, 0] for t in texts]
     bounds = np.cumsum([0] + [len(t) for t in texts])
-    got = suffix_arrays(np.concatenate([np.array(t) for t in texts]), bounds)
+    letters = np.concatenate([np.array(t) for t in texts])
+    got = suffix_arrays(letters, bounds)
+    for few in (0, 2):  # side by side to the end, and one by one from two texts on
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lyndon, "FEW", few)
+            assert suffix_arrays(letters, bounds).tolist() == got.tolist()
     for i, text in enumerate(texts):
         want = sorted(range(len(text)), key=lambda j: text[j:])
         assert (got[bounds[i] : bounds[i + 1]] - bounds[i]).tolist() == want
