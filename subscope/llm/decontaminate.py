@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every mask of
-``MASKS`` hashes six of the words below it and ignores the others, so a hit survives substituted
-words. Hashes of documents meet those of benchmark items in a join; a bitmap of fixed size
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A mask hashes the words
+below its ones and ignores the others, so a hit survives substituted words. ``MASKS`` holds a set of masks
+for each range of item lengths; wherever ``overlap`` finds an agreement, one of them hits (the tests go
+through all patterns of substituted words). Documents are hashed by the sets that the items need.
+Hashes of documents meet those of benchmark items in a join; a bitmap of fixed size
 drops most document hashes before it (it lets too many through when the benchmark is huge, never
 too few). Around each hit the two word sequences are compared along the hit's diagonal: they
 overlap when some stretch of ``MIN_OVERLAP`` words or more (or the whole item, if shorter) agrees
@@ -25,9 +27,14 @@ from pyspark.sql import functions as F
 
 from subscope.llm.common import PUNCTUATION, Scratch, bitmap_of, combine, in_bitmap, pieces, strings, word_hashes
 
-#: Fixed seeds of weight six.
-MASKS = ("111111", "1101100101", "1110010011", "1010110101")
-MIN_WORDS = 8
+#: Least words of an item and the masks of such items, up to the next entry. An agreement of 26 words or more
+#: holds a shorter one of at least 13, so the last set need only cover stretches of 13 to 25 words.
+MASKS = (
+    (6, ("1111", "11011")),
+    (8, ("11111", "111011", "11010011")),
+    (13, ("1110111", "1111011", "1110100011", "11000011011")),
+)
+MIN_WORDS = MASKS[0][0]
 NULL_ITEM = -(1 << 63)
 MIN_OVERLAP = 13
 MIN_SHARE = 0.8
@@ -38,10 +45,17 @@ def seed_offsets(mask: str) -> tuple[int, ...]:
     return tuple(i for i, c in enumerate(mask) if c == "1")
 
 
-def seeds(hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, position in the row, hash) of every place of every mask inside one row."""
+def mask_set(n_words: int) -> int:
+    """The set of ``MASKS`` for an item of so many words."""
+    return sum(n_words >= least for least, _ in MASKS) - 1
+
+
+def seeds(
+    hashes: np.ndarray, rows: np.ndarray, sets: list[int]
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, position in the row, hash) of every place of every mask of the sets inside one row."""
     row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    for number, mask in enumerate(MASKS):
+    for number, mask in ((len(MASKS) * i + chosen, m) for chosen in sets for i, m in enumerate(MASKS[chosen][1])):
         count = max(len(hashes) - len(mask) + 1, 0)
         if not count:
             continue
@@ -96,7 +110,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
         for batch in batches:
             for item, raw in zip(batch.column(0), batch.column(1), strict=True):
                 hashes = np.frombuffer(raw.as_py(), np.uint64)
-                for _, at, values in seeds(hashes, np.array([0, len(hashes)])):
+                for _, at, values in seeds(hashes, np.array([0, len(hashes)]), [mask_set(len(hashes))]):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(values.view(np.int64)), pa.array([item.as_py()] * len(at), pa.int64()),
                          pa.array(at.astype(np.int32))], names=["seed", "item", "item_at"])
@@ -113,6 +127,11 @@ def find_overlaps(
     scratch = Scratch(spark)
     items = scratch.keep(benchmark_words(benchmark, item_col, item_text))
     known = scratch.keep(item_seeds(items))
+    sizes = items.select(F.octet_length("words") / 8)
+    needed = [  # one flag per set of masks
+        i for i, used in enumerate(sizes.toDF("n").agg(*(
+            F.coalesce(F.max(F.col("n").between(least, most)), F.lit(False))
+            for (least, _), most in zip(MASKS, [n - 1 for n, _ in MASKS[1:]] + [1 << 62], strict=True))).first()) if used]
     bitmap = spark.sparkContext.broadcast(bitmap_of(known.select("seed")))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +140,7 @@ def find_overlaps(
             data, bounds = strings(batch.column(1))
             for low, high in pieces(bounds, SLICE_BYTES):
                 hashes, rows = word_hashes(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], PUNCTUATION)
-                found = [(r[m], a[m], v[m]) for r, a, v in seeds(hashes, rows) if (m := in_bitmap(filter_, v)).any()]
+                found = [(r[m], a[m], v[m]) for r, a, v in seeds(hashes, rows, needed) if (m := in_bitmap(filter_, v)).any()]
                 if not found:
                     continue
                 row, at, value = (np.concatenate(x) for x in zip(*found, strict=True))
