@@ -11,6 +11,7 @@ from subscope.llm import (
     token_files, url_filter, vector_graph,
 )
 from subscope.llm.common import ship
+from subscope.llm.oracle import ORACLE_SQL  # noqa: F401  read by __spark_entry__.py
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -77,4 +78,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_decontaminate, op8_ngram_join, op9_url_filter, op10_vector_graph, op11_entropy_mix, op12_align,
         op13_collocations)
 }
-ORACLE_SQL: dict[str, str] = {}
