@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm import bpe, decontaminate, ngram_join, quality, secret_scan
-from subscope.llm.common import Scratch, ship
+from subscope.llm.common import Scratch, ship, shuffles_released
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +37,8 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group linked by shingle similarity."""
     ship(spark)
-    return ngram_join.one_of_each_group(docs)
+    with shuffles_released(spark):
+        return ngram_join.one_of_each_group(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

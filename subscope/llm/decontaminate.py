@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.llm.common import PUNCTUATION, Scratch, bitmap_of, combine, in_bitmap, pieces, strings, word_hashes
+from subscope.llm.common import (
+    PUNCTUATION, Scratch, bitmap_of, combine, in_bitmap, pieces, shuffles_released, strings, without, word_hashes,
+)
 
 #: Least words of an item and the masks of such items, up to the next entry. An agreement of 26 words or more
 #: holds a shorter one of at least 13, so the last set need only cover stretches of 13 to 25 words.
@@ -181,10 +183,12 @@ def find_overlaps(
         .join(hit.select("id", "words").alias("d"), F.expr("p.id <=> d.id"))
         .select("p.id", "item", "shifts", "d.words", "item_words")
     )
-    return (
+    found = scratch.keep(
         with_words.mapInArrow(verify, f"id {kind}, item long, n_words long").where("n_words > 0")
         .groupBy(F.col("id").alias(id_col), "item").agg(F.max("n_words").alias("n_words"))
     )
+    scratch.keep_only(found)
+    return found
 
 
 def contamination(
@@ -204,5 +208,6 @@ def contamination(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without a benchmark passage, columns as they were."""
-    found = find_overlaps(docs, benchmark, id_col, text).select(F.col(id_col).alias("k")).distinct()
-    return docs.alias("d").join(found.alias("f"), F.expr(f"d.`{id_col}` <=> f.k"), "left_anti")
+    with shuffles_released(docs.sparkSession):
+        found = find_overlaps(docs, benchmark, id_col, text).select(F.col(id_col).alias("k")).distinct()
+        return without(docs, id_col, Scratch(docs.sparkSession).keep(found))

@@ -441,6 +441,7 @@ def one_of_each_group(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "fp")).alias("least")).where("size > 1")
     sets = scratch.keep(
         placed.select("fp", "part").distinct().join(groups, "part").select("fp", F.col("least.id").alias("least_id"), F.col("least.fp").alias("least_fp")))
+    scratch.keep_only(sets)
     grouped = spark.sparkContext.broadcast(bitmap_of(sets.select("fp")))
 
     fresh = lambda name: name if name not in docs.columns else fresh(name + "_")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.llm.common import MIX_1, Scratch, pieces, strings
+from subscope.llm.common import MIX_1, Scratch, pieces, shuffles_released, strings, without
 
 ORDER = 5
 QUANTILE = 0.995
@@ -304,6 +304,7 @@ def classify(
             parts.append(scores.join(ids.where("fold = 0"), F.col("id") == F.col("trusted")).select(*scores.columns))
         else:
             parts.append(log_likelihoods(texts.where(F.col("fold") == fold), model, "id", "text", ["lang"]))
+        scratch.keep_only(ids, texts, scores, *tops)  # the model's shards have been sent
     fitted = parts[0]
     for part in parts[1:]:
         fitted = fitted.union(part)
@@ -313,6 +314,7 @@ def classify(
             F.min("lang").alias("lang"), F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
 
     fitted = scratch.keep(per_id(fitted).where("n_bytes > 0"))
+    scratch.keep_only(scores, fitted)
     rate = -F.col("log_p") / F.col("n_bytes")
     drawn = (-F.col("log_p") + PRIOR * F.col("middle")) / (F.col("n_bytes") + PRIOR)
     middles = fitted.groupBy(F.col("lang").alias("of")).agg(F.percentile_approx(rate, 0.5, 10000).alias("middle"))
@@ -320,6 +322,7 @@ def classify(
         fitted.join(middles, F.expr("lang <=> of")).groupBy("of").agg(
             F.first("middle").alias("middle"), F.percentile_approx(drawn, quantile, 10000).alias("cut"))
     )
+    scratch.drop(fitted)
     return (
         per_id(scores).join(cuts, F.expr("lang <=> of"), "left")
         .select(F.col("id").alias(id_col), "lang", "n_bytes",
@@ -330,5 +333,7 @@ def classify(
 
 def accepted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that are kept, columns as they were."""
-    keep = classify(docs, labels, id_col, text, lang).where("kept").select(F.col(id_col).alias("k")).distinct()
-    return docs.alias("d").join(keep.alias("k"), F.expr(f"d.`{id_col}` <=> k.k"), "left_semi")
+    with shuffles_released(docs.sparkSession):
+        judged = classify(docs, labels, id_col, text, lang)  # one row per id
+        rejected = Scratch(docs.sparkSession).keep(judged.where(~F.col("kept")).select(F.col(id_col).alias("k")))
+        return without(docs, id_col, rejected)
