@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.llm.common import strings
+from subscope.llm.common import pieces, strings
 
 #: Fixed values of the base patterns; the flags A and I together fold the case of ASCII letters only.
 ASSIGN = re.compile(
@@ -46,6 +46,8 @@ BINS = 50
 LENGTHS = (32, 48, 96)
 #: Tokens a task remembers, so that most copies stay in it.
 TOLD = 200_000
+#: Bytes of texts looked at together; the arrays made for them take a multiple of that.
+SLICE_BYTES = 2 << 20
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -151,6 +153,13 @@ def base_spans(text: str, low_has_word: bool, long_run: bool) -> list[tuple[int,
 def _scan(column: pa.Array) -> Iterator[tuple[str, list[tuple[int, int, int]], list[tuple[int, int, int, float]]]]:
     """Per text: the text, its base spans, and (start, end, cell, p) of the tokens tested."""
     data, bounds = strings(column)
+    for low, high in pieces(bounds, SLICE_BYTES):
+        yield from _scan_slice(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
+
+
+def _scan_slice(
+    data: np.ndarray, bounds: np.ndarray
+) -> Iterator[tuple[str, list[tuple[int, int, int]], list[tuple[int, int, int, float]]]]:
     rows, starts, ends, long_rows = _candidates(data, bounds)
     long_runs = set(long_rows.tolist())
     by_row: dict[int, list[tuple[int, int]]] = {}

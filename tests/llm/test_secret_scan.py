@@ -4,6 +4,9 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
+
+import pyarrow as pa
 
 from subscope.llm import secret_scan as s
 
@@ -82,3 +85,18 @@ def test_a_copied_token_does_not_decide_the_cut(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert s.fit_cuts(docs) == s.fit_cuts(docs.limit(300).unionAll(docs)) and 0 not in s.fit_cuts(docs).values()
     assert all(r.n_random <= 1 for r in s.scan_secrets(docs).collect())
+
+
+def test_memory_of_a_batch():
+    rng = random.Random(3)
+    texts = [None, "token=" + "k3y" * 4] + ["".join(rng.choice("ab 1F=") for _ in range(1500)) for _ in range(40)] * 200
+    column = pa.array(texts)
+    whole = [(text, base, tested) for i in range(len(column)) for text, base, tested in s._scan(column.slice(i, 1))]
+    tracemalloc.start()
+    try:
+        same = all(got == want for got, want in zip(s._scan(column), whole, strict=True))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert same
+    assert peak < 100e6, f"{peak / 1e6:.0f} MB for {column.nbytes / 1e6:.0f} MB of texts"
