@@ -118,9 +118,14 @@ def differing(a: str, b: str):
         F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(PARITIES // 64)))
 
 
+def whole_text(text: str):
+    """A hash of a whole text, by which a later pass finds it without its shingles."""
+    return F.xxhash64(F.col(text).cast("string")).alias("whole")
+
+
 def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """Rows (kind 0, id, fingerprint or null, n, block sizes, parities) per document and
-    (kind 1, null, shingle, count, null, null) of frequent shingles."""
+    """Rows (kind 0, id, fingerprint or null, n, block sizes, parities, hash of the text) per document and
+    (kind 1, null, shingle, count, null, null, null) of frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -132,16 +137,17 @@ def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(many.sum(), np.int32)), pa.nulls(int(many.sum()), pa.int64()),
                  pa.array(value[many].view(np.int64)), pa.array(count[many]), pa.nulls(int(many.sum()), pa.binary()),
-                 pa.nulls(int(many.sum()), pa.list_(pa.int64()))],
-                names=["kind", "id", "key", "n", "sizes", "bits"])
+                 pa.nulls(int(many.sum()), pa.list_(pa.int64())), pa.nulls(int(many.sum()), pa.int64())],
+                names=["kind", "id", "key", "n", "sizes", "bits", "whole"])
 
         for batch in batches:
             for low, high, row, value, count, prints in shingle_rows(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(high - low, np.int32)), batch.column(0).slice(low, high - low),
                      pa.array(prints.view(np.int64), mask=count == 0), pa.array(count.astype(np.int64)),
-                     pa.array(block_sizes(row, value, high - low), pa.binary()), parities(row, value, high - low)],
-                    names=["kind", "id", "key", "n", "sizes", "bits"])
+                     pa.array(block_sizes(row, value, high - low), pa.binary()), parities(row, value, high - low),
+                     batch.column(2).slice(low, high - low)],
+                    names=["kind", "id", "key", "n", "sizes", "bits", "whole"])
                 held.append(value)
                 entries += len(value)
                 if entries >= COUNT_ENTRIES:
@@ -150,8 +156,8 @@ def describe(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
         if held:
             yield frequent()
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string")).mapInArrow(
-        run, "kind int, id long, key long, n long, sizes binary, bits array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string"), whole_text(text)).mapInArrow(
+        run, "kind int, id long, key long, n long, sizes binary, bits array<long>, whole long")
 
 
 def prefix_entries(docs: DataFrame, text: str, k: int, similarity: int, frequent) -> DataFrame:
@@ -274,18 +280,25 @@ def within_bounds(pairs: DataFrame, sizes: DataFrame, similarity: int) -> DataFr
     return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "x", "y", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of fingerprints whose sets link. The wanted rows are made in one pass over the texts and written."""
+def linked(
+    docs: DataFrame, pairs: DataFrame, sizes: DataFrame, text: str, k: int, similarity: int, scratch: Scratch
+) -> DataFrame:
+    """The pairs (a, b) of fingerprints whose sets link. The wanted rows are made in one pass over the texts and written.
+
+    ``sizes`` names one text of each set by its hash, and only these texts are shingled again. What a bitmap
+    lets through wrongly meets no pair in the joins.
+    """
     spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(bitmap_of(pairs.select("a").union(pairs.select("b")).distinct()))
+    in_pairs = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    wanted = spark.sparkContext.broadcast(bitmap_of(sizes.join(in_pairs, "fp", "left_semi").select("whole")))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_, seen = wanted.value, set()
         for batch in batches:
-            for _, _, _, value, count, prints in shingle_rows(batch.column(0), k):
+            some = in_bitmap(filter_, batch.column(1).to_numpy())
+            for _, _, _, value, count, prints in shingle_rows(batch.column(0).filter(pa.array(some)), k):
                 ends = np.cumsum(count)
-                some = np.flatnonzero(in_bitmap(filter_, prints) & (count > 0))
-                some = [i for i in some if not (prints[i] in seen or seen.add(prints[i]))]
+                some = [i for i in np.flatnonzero(count) if not (prints[i] in seen or seen.add(prints[i]))]
                 if some:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(prints[some].view(np.int64)),
@@ -302,7 +315,7 @@ def linked(docs: DataFrame, pairs: DataFrame, text: str, k: int, similarity: int
                 [c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
     sets = scratch.keep(
-        docs.select(F.col(text).cast("string")).mapInArrow(rows, "fp long, row binary").dropDuplicates(["fp"]))
+        docs.select(F.col(text).cast("string"), whole_text(text)).mapInArrow(rows, "fp long, row binary").dropDuplicates(["fp"]))
     with_b = pairs.join(sets.select(F.col("fp").alias("b"), F.col("row").alias("row_b")), "b")
     both = with_b.join(sets.select(F.col("fp").alias("a"), F.col("row").alias("row_a")), "a")
     found = scratch.keep(both.select("a", "b", "row_a", "row_b").mapInArrow(verify, "a long, b long"))
@@ -328,13 +341,13 @@ def linked_sets(
     columns = scratch.keep(shared_columns(prefix_entries(docs, text, k, similarity, frequent)))
     in_columns = columns.select("fp").distinct()
     sizes = scratch.keep(
-        described.where("kind = 0").select(F.col("key").alias("fp"), "n", "sizes", "bits")
+        described.where("kind = 0").select(F.col("key").alias("fp"), "n", "sizes", "bits", "whole")
         .join(in_columns, "fp", "left_semi").dropDuplicates(["fp"])
     )
 
     def multiplied(pairs: DataFrame) -> DataFrame | None:
         close = scratch.keep(within_bounds(pairs, sizes, similarity))
-        found = linked(docs, close, text, k, similarity, scratch) if not close.isEmpty() else None
+        found = linked(docs, close, sizes, text, k, similarity, scratch) if not close.isEmpty() else None
         scratch.drop(close)
         return None if found is None or found.isEmpty() else found
 

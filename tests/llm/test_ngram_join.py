@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import re
 
@@ -169,3 +170,22 @@ def test_group_that_is_not_near_enough(spark, monkeypatch):
     monkeypatch.setattr(nj, "CHOSEN", ())
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
     assert sum(tried) < 10 * len(rows) < len(rows) ** 2 / 4
+
+
+def test_only_texts_in_pairs_are_shingled_again(spark, monkeypatch, tmp_path):
+    """Of texts that share nothing with another no rows are made for the product; one text of a set is enough."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("aeiourst") for _ in range(6))
+    rows = [(i, " ".join(word() for _ in range(40))) for i in range(300)]
+    rows += [(300, rows[7][1] + " end"), (301, rows[7][1].upper()), (302, rows[7][1].replace(" ", "\t")), (303, rows[9][1] + " fin")]
+    usual, folder = nj.shingle_rows, str(tmp_path)
+
+    def counted(column, k):
+        with open(f"{folder}/{os.getpid()}", "a") as file:
+            file.write(f"{len(column)}\n")
+        yield from usual(column, k)
+
+    monkeypatch.setattr(nj, "shingle_rows", counted)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    shingled = sum(int(line) for path in tmp_path.iterdir() for line in path.read_text().split())
+    assert 2 * len(rows) < shingled < 2 * len(rows) + 20, shingled
