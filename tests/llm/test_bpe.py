@@ -92,3 +92,26 @@ def test_token_files(spark, odd, library, monkeypatch):
         got = token_files.files_round_trip(odd, partitions=partitions).collect()
         assert sorted(map(tuple, got), key=lambda t: t[1]) == want
     assert token_files.files_round_trip(odd.limit(0)).count() == 0
+
+
+def test_words_met_once_take_no_call_of_the_library(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh12"), 9)) for _ in range(300)) for _ in range(20)]
+    want = [bpe.Coder.at(bpe.default_tokenizer()).library.encode(t, add_special_tokens=False).ids for t in texts]
+    memory = token_files.WordMemory(bpe.default_tokenizer())
+
+    def no_library(*_, **__):
+        raise AssertionError("the library was asked")
+
+    library = type("Library", (), {"encode": no_library, "encode_batch": no_library})()
+    monkeypatch.setattr(memory.coder, "library", library)
+    assert [np.frombuffer(memory.encode(t), "<u4").tolist() for t in texts] == want
+
+
+def test_blocks_are_as_they_were():
+    """The files of earlier versions stay readable: the same ids give the same bytes."""
+    rng = np.random.default_rng(7)
+    ids = np.concatenate([rng.integers(0, 1 << 17, 1500), np.tile(rng.integers(0, 900, 50), 60), np.zeros(2100, np.int64)])
+    payload = token_files.encode_blocks(ids)
+    assert (len(payload), zlib.crc32(payload)) == (3792, 3691889738)
+    assert (token_files.decode_blocks(payload) == ids).all()
