@@ -25,7 +25,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from subscope.llm.bpe import Coder, default_tokenizer
 from subscope.llm.common import Scratch
 
 BLOCK = 1024
-SEGMENT = 1 << 21
+SEGMENT = 1 << 23
 MAGIC = b"TB1\n"
 HEADER = struct.Struct("<4sIIII")
 END_ID = 0
@@ -81,69 +81,83 @@ _RESERVE = 2048  # of 65536: what the order-0 model always keeps
 class Lanes:
     """The model state of blocks coded side by side; encoder and decoder update it alike.
 
-    Counts and shares stay below 2**31 in every product, so they are 32-bit, whose division is the faster one.
+    The first half of an array is order 2, the second is order 1, so that one call serves both. Shares are whole numbers
+    in doubles, whose division is the faster one: every product stays below 2**53, so its floor is exact.
     """
 
     def __init__(self, n: int):
-        self.row = np.arange(n)
-        self.base = self.row * _SLOTS
-        self.guess = [np.full(n * _SLOTS, -1, np.int32) for _ in range(2)]
-        self.level = [np.zeros(n * _SLOTS, np.uint8) for _ in range(2)]
-        self.hits = [np.full(n * _LEVELS, 8, np.int32) for _ in range(2)]
-        self.seen = [np.full(n * _LEVELS, 32, np.int32) for _ in range(2)]
-        self.counts = np.full((_CLASSES, n), 4, np.int32)
-        self.counts[8:17] = 32
-        self.ends = np.zeros((_CLASSES + 1, n), np.int32)
-        self.one = np.zeros(n, np.int64)
-        self.two = np.zeros(n, np.int64)
-
-    def predict(self) -> tuple:
-        """Slots, guesses and the shares (of 65536) of the order-2 and order-1 guess."""
-        slot1 = self.base + ((self.one * 40503 >> 4) & (_SLOTS - 1))
-        slot2 = self.base + (((self.one * 40503 + self.two * 30011) >> 3) & (_SLOTS - 1))
-        guess2, guess1 = self.guess[0][slot2], self.guess[1][slot1]
-        cell2 = self.row * _LEVELS + self.level[0][slot2]
-        cell1 = self.row * _LEVELS + self.level[1][slot1]
-        hit2, all2 = self.hits[0][cell2], self.seen[0][cell2]
-        hit1, all1 = self.hits[1][cell1], self.seen[1][cell1]
-        both = guess1 == guess2
-        free = 65536 - _RESERVE
-        share2 = np.where(both, free * (hit2 + hit1) // (all2 + all1), free * hit2 // all2)
-        share2[guess2 < 0] = 0
-        share1 = (free - share2) * hit1 // all1
-        share1[both | (guess1 < 0)] = 0
-        return slot2, slot1, guess2, guess1, cell2, cell1, share2, share1
-
-    def learn(self, ids: np.ndarray, state: tuple, width: np.ndarray, missed: np.ndarray) -> None:
-        slot2, slot1, guess2, guess1, cell2, cell1, _, _ = state
-        for order, slot, guess, cell in ((0, slot2, guess2, cell2), (1, slot1, guess1, cell1)):
-            hit = guess == ids
-            known = guess >= 0
-            hits, seen, level = self.hits[order], self.seen[order], self.level[order]
-            hits[cell] += hit * 32
-            seen[cell] += known * 32
-            full = seen[cell] > 4096
-            if full.any():
-                at = cell[full]
-                hits[at] = (hits[at] + 1) >> 1
-                seen[at] = (seen[at] + 1) >> 1
-            level[slot] = np.where(hit, np.minimum(level[slot] + 1, _LEVELS - 1), 0)
-            self.guess[order][slot] = ids
-        at = self.row[missed]
-        self.counts[width[missed], at] += 16
-        if (full := self.ends[-1, at] > _RESERVE - 32).any():
-            self.counts[:, at[full]] = (self.counts[:, at[full]] + 1) >> 1
-        self.two, self.one = self.one, ids
-
-    def classes(self) -> np.ndarray:
-        """Running counts of the order-0 classes, one column a lane; their sum stays below the reserve."""
-        for w in range(_CLASSES):  # row by row, which is faster than a cumsum over the short axis
-            np.add(self.ends[w], self.counts[w], out=self.ends[w + 1])
-        return self.ends
-
-
-def bit_length(ids: np.ndarray) -> np.ndarray:
-    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)  # exact: ids are below 2**17
+        self.n, self.row = n, np.arange(n)
+        self.slots = np.arange(2 * n) * _SLOTS
+        self.cells = np.arange(2 * n) * 8
+        self.memory = np.full(2 * n * _SLOTS, -8 + _LEVELS, np.int32)  # 8 times the id last seen (-1: none), and its level
+        # hits (upper half) and uses (lower half) of each level; cells of places without an id never hit
+        self.rates = np.tile(np.repeat(np.array([8 << 16 | 32, 1], np.int32), [_LEVELS, 8 - _LEVELS]), 2 * n)
+        counts = np.full(_CLASSES, 4)
+        counts[8:17] = 32
+        # twice the running counts of the order-0 classes, one column a lane; their sum stays below the reserve
+        self.ends = np.zeros((_CLASSES + 1, n), np.int16)
+        self.ends[1:] = 2 * np.cumsum(counts)[:, None]
+        self.flat, self.total = self.ends.reshape(-1), self.ends[-1].astype(np.float64)
+        self.under = np.array([[0], [n]]) + self.row
+        self.step = np.empty((_CLASSES, n), np.int16)
+        self.context = np.zeros(2 * n, np.int64)  # the last two ids and the last one, hashed
+        self.last = np.zeros(n, np.int32)
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Guesses and shares (of 65536) of order 2 and order 1."""
+        n = self.n
+        self.slot = self.context & (_SLOTS - 1)
+        self.slot += self.slots
+        self.entry = self.memory.take(self.slot)
+        self.guess = self.entry >> 3
+        self.cell = self.cells + (self.entry & 7)
+        self.rate = self.rates.take(self.cell)
+        hits, uses = (self.rate >> 16).astype(np.float64), (self.rate & 0xFFFF).astype(np.float64)
+        hit2, hit1, uses2, uses1 = hits[:n], hits[n:], uses[:n], uses[n:]
+        both = (self.guess[:n] == self.guess[n:]).astype(np.float64)
+        free = 65536.0 - _RESERVE
+        share2 = np.floor((hit2 + hit1 * both) * free / (uses2 + uses1 * both))
+        share1 = np.floor((free - share2) * hit1 * (1.0 - both) / uses1)
+        return self.guess[:n], self.guess[n:], share2, share1
+
+    def interval(self, width: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of order-0 classes within the share that is left for them."""
+        below, above = np.floor(self.flat.take(self.under + width * self.n) * rest / self.total)
+        return below, above - below
+
+    def learn(self, ids: np.ndarray, width: np.ndarray, missed: np.ndarray) -> None:
+        n = self.n
+        right = self.guess.reshape(2, n) == ids
+        self.rate += right.reshape(-1) * np.int32(32 << 16)
+        self.rate += np.int32(32)
+        full = ((self.rate & 0xFFFF) > 4096).nonzero()[0]
+        if len(full):
+            old = self.rate[full]
+            self.rate[full] = (old >> 16) + 1 >> 1 << 16 | (old & 0xFFFF) + 1 >> 1
+        self.rates[self.cell] = self.rate
+        fresh = ids << 3
+        self.entry += 1
+        entry = np.where(right, np.minimum(self.entry.reshape(2, n), fresh | (_LEVELS - 1)), fresh)
+        self.memory[self.slot] = entry.reshape(-1)
+
+        full = ((self.ends[-1] > 2 * (_RESERVE - 32)) & missed).nonzero()[0]
+        np.subtract(np.where(missed, width, _CLASSES).astype(np.int16), _CLASS, out=self.step)
+        self.step &= 32  # 32 where the class lies above the id's, else 0
+        self.ends[1:] += self.step
+        if len(full):
+            ends = self.ends.take(full, axis=1)
+            halves = (ends[1:] - ends[:-1] + 2) >> 2
+            self.flat[full + n * np.arange(1, _CLASSES + 1)[:, None]] = 2 * np.add.accumulate(halves, axis=0)
+        self.total = self.ends[-1].astype(np.float64)
+        mixed = ids * np.int32(40503)
+        self.context[:n] = (mixed + self.last * np.int32(30011)) >> 3
+        self.context[n:] = mixed >> 4
+        self.last = ids
+
+
+_CLASS = np.arange(1, _CLASSES + 1, dtype=np.int16)[:, None]
+_LENGTH = np.frexp(np.arange(1 << 17, dtype=np.float64))[1].astype(np.int8)  # bit length of every id
+_RAW = np.maximum(np.arange(_CLASSES) - 1, 0)  # lower bits of an id of each bit length
 
 
 def due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
@@ -157,6 +171,44 @@ def shortened(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return low, np.where(settled, span, (~low + np.uint64(1)) & (_BOT - np.uint64(1)))
 
 
+def normalise(low: np.ndarray, span: np.ndarray, some: Callable[[np.ndarray], None], every: Callable[[np.ndarray], None]) -> None:
+    """Move the upper word out of every lane that is due, until none is.
+
+    Only narrow spans can be due twice or be cut, so only they go round. ``some`` passes on a word of the given lanes,
+    ``every`` one of each lane whose number of bits to move is not zero.
+    """
+    ready = (span < _BOT).nonzero()[0]
+    while len(ready):
+        own, width = shortened(low[ready], span[ready])
+        some(ready)
+        low[ready], span[ready] = own, width = own << _S16, width << _S16
+        ready = ready[due(own, width)]
+    bits = (((low + span) ^ low) < _TOP) * _S16
+    every(bits)
+    low <<= bits
+    span <<= bits
+
+
+# The words of the lanes lie side by side, ``_S16`` lanes to a tile, so that a lane's next word is as many
+# places on as its range moves bits.
+
+
+def tiled(words: np.ndarray) -> np.ndarray:
+    """A row of words per lane as tiles; the number of lanes is a multiple of 16."""
+    return np.ascontiguousarray(words.reshape(-1, 16, words.shape[1]).transpose(0, 2, 1)).reshape(-1)
+
+
+def untiled(tiles: np.ndarray, high: int, used: int) -> np.ndarray:
+    """A row of the first words per lane, from tiles of ``high`` words a lane."""
+    return np.ascontiguousarray(tiles.reshape(-1, high, 16)[:, :used].transpose(0, 2, 1)).reshape(-1, used)
+
+
+def places(n: int, high: int) -> np.ndarray:
+    """Where the first word of each lane lies in tiles of ``high`` words a lane."""
+    lane = np.arange(n)
+    return (lane >> 4) * (16 * high) + (lane & 15)
+
+
 def encode_blocks(ids: np.ndarray) -> bytes:
     """All blocks of a run of ids, one after the other."""
     if len(ids) == 0:
@@ -164,66 +216,61 @@ def encode_blocks(ids: np.ndarray) -> bytes:
     if ids.min() < 0 or ids.max() >= 1 << 17:
         raise ValueError("ids must lie between 0 and 131071")
     n = -(-len(ids) // BLOCK)
-    flat = np.zeros(n * BLOCK, np.int64)
+    flat = np.zeros(n * BLOCK, np.int32)
     flat[: len(ids)] = ids
     grid = np.ascontiguousarray(flat.reshape(n, BLOCK).T)
-    sizes = np.full(n, BLOCK)
-    sizes[-1] = len(ids) - (n - 1) * BLOCK
+    last = len(ids) - (n - 1) * BLOCK
     lanes = Lanes(n)
     low, span = np.zeros(n, np.uint64), np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    out = np.zeros((n, BLOCK * 4 + 16), np.uint16)
-    used = np.zeros(n, np.int64)
-
-    def normalise(live: np.ndarray) -> None:
-        ready = np.flatnonzero(due(low, span) & live)
-        while len(ready):
-            own, width = shortened(low[ready], span[ready])
-            at = used[ready]
-            out[ready, at] = (own >> np.uint64(48)).astype(np.uint16)
-            used[ready] = at + 1
-            low[ready], span[ready] = own, width = own << _S16, width << _S16
-            ready = ready[due(own, width)]
-
-    everyone = np.ones(n, bool)
-    for step in range(BLOCK):
-        live = everyone if step < sizes[-1] else sizes > step
-        if not live.any():
-            break
+    high = BLOCK * 4 + 16
+    first = places(n, high)
+    out, place = np.zeros(-(-n // 16) * 16 * high, np.uint16), first.copy()
+
+    def some(lane: np.ndarray) -> None:
+        out[place[lane]] = low[lane] >> np.uint64(48)
+        place[lane] += 16
+
+    def every(bits: np.ndarray) -> None:  # a word that is not moved out is replaced by the lane's next one
+        out[place] = (low >> np.uint64(48)).astype(np.uint16)
+        np.add(place, bits.view(np.int64), out=place)
+
+    end = None
+    for step in range(BLOCK if n > 1 else last):
+        if step == last:  # the last block ends here; its lane idles on
+            end = low[-1], place[-1]
         now = grid[step]
-        state = lanes.predict()
-        share2, share1 = state[6], state[7]
-        hit2 = (state[2] == now) & (share2 > 0)
-        hit1 = (state[3] == now) & (share1 > 0) & ~hit2
+        guess2, guess1, share2, share1 = lanes.predict()
+        hit2 = guess2 == now
+        hit1 = ((guess1 == now) & (share1 > 0)) > hit2
         missed = ~(hit2 | hit1)
-        width = bit_length(now)
-        rest = 65536 - share2 - share1
-        ends = lanes.classes()
-        below, above = rest * ends[width, lanes.row] // ends[-1], rest * ends[width + 1, lanes.row] // ends[-1]
-        start = np.where(hit2, 0, np.where(hit1, share2, share2 + share1 + below))
-        size = np.where(hit2, share2, np.where(hit1, share1, above - below))
+        width = _LENGTH.take(now).astype(np.int64)
+        both = share2 + share1
+        below, size = lanes.interval(width, 65536.0 - both)
+        start = np.where(hit2, 0.0, np.where(hit1, share2, both + below))
+        size = np.where(hit2, share2, np.where(hit1, share1, size))
         unit = span >> _S16
-        low += np.where(live, unit * start.astype(np.uint64), 0).astype(np.uint64)
-        span[:] = np.where(live, unit * size.astype(np.uint64), span)
-        normalise(live)
-        bits = np.maximum(width - 1, 0)
-        raw = missed & (bits > 0) & live
-        if raw.any():
-            shift = bits.astype(np.uint64)
-            unit = span >> shift
-            below = (now - (1 << bits)).astype(np.uint64)
-            low += np.where(raw, unit * below, 0).astype(np.uint64)
-            span[:] = np.where(raw, unit, span)
-            normalise(raw)
-        lanes.learn(now, state, width, missed & live if live is not everyone else missed)
+        low += unit * start.astype(np.uint64)
+        np.multiply(unit, size.astype(np.uint64), out=span)
+        normalise(low, span, some, every)
+        bits = _RAW.take(width) * missed
+        span >>= bits.view(np.uint64)
+        low += span * (now & ((1 << bits) - 1)).view(np.uint64)
+        normalise(low, span, some, every)
+        lanes.learn(now, width, missed)
+    if end:
+        low[-1], place[-1] = end
     for _ in range(4):
-        out[lanes.row, used] = (low >> np.uint64(48)).astype(np.uint16)
-        used += 1
+        out[place] = (low >> np.uint64(48)).astype(np.uint16)
+        place += 16
         low <<= _S16
+    used = (place - first) >> 4
+    words = untiled(out, high, used.max()).astype("<u2", copy=False)
+    whole = flat.astype("<u4", copy=False)
     parts = []
-    for i in range(n):
-        body = out[i, : used[i]].astype("<u2").tobytes()
-        own = ids[i * BLOCK : i * BLOCK + int(sizes[i])].astype("<u4").tobytes()
-        parts += [HEADER.pack(MAGIC, int(sizes[i]), int(used[i]), zlib.crc32(own), zlib.crc32(body)), body]
+    for i, count in enumerate(used.tolist()):
+        body = words[i, :count].tobytes()
+        own = whole[i * BLOCK : min((i + 1) * BLOCK, len(ids))]
+        parts += [HEADER.pack(MAGIC, len(own), count, zlib.crc32(own), zlib.crc32(body)), body]
     return b"".join(parts)
 
 
@@ -242,69 +289,65 @@ def decode_blocks(payload: bytes) -> np.ndarray:
     if not n:
         return np.empty(0, np.int64)
     sizes = np.array([s for s, _ in heads])
-    words = np.zeros((n, max(map(len, bodies)) + 8), np.uint64)
+    high = max(map(len, bodies)) + 8
+    padded = np.zeros((-(-n // 16) * 16, high), np.uint16)
     for i, body in enumerate(bodies):
-        words[i, : len(body)] = body
+        padded[i, : len(body)] = body
+    words, place = tiled(padded), places(n, high)
     lanes = Lanes(n)
     low, span = np.zeros(n, np.uint64), np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    code, used = np.zeros(n, np.uint64), np.full(n, 4)
-    for i in range(4):
-        code = code << _S16 | words[:, i]
-
-    def normalise(live: np.ndarray) -> None:
-        ready = np.flatnonzero(due(low, span) & live)
-        while len(ready):
-            own, width = shortened(low[ready], span[ready])
-            at = used[ready]
-            code[ready] = code[ready] << _S16 | words[ready, at]
-            used[ready] = at + 1
-            low[ready], span[ready] = own, width = own << _S16, width << _S16
-            ready = ready[due(own, width)]
-
-    grid = np.zeros((BLOCK, n), np.int64)
-    least, everyone = int(sizes.min()), np.ones(n, bool)
-    for step in range(int(sizes.max())):
-        live = everyone if step < least else sizes > step
-        state = lanes.predict()
-        share2, share1 = state[6], state[7]
+    code = np.zeros(n, np.uint64)  # counted from low
+    for _ in range(4):
+        code = code << _S16 | words[place]
+        place += 16
+
+    def some(lane: np.ndarray) -> None:
+        code[lane] = code[lane] << _S16 | words.take(place[lane], mode="clip")
+        place[lane] += 16
+
+    def every(bits: np.ndarray) -> None:
+        np.left_shift(code, bits, out=code)
+        np.bitwise_or(code, words.take(place, mode="clip") * (bits > 0), out=code)
+        np.add(place, bits.view(np.int64), out=place)
+
+    grid = np.empty((int(sizes.max()), n), np.int32)
+    for now in grid:  # a lane whose block has ended idles on
+        guess2, guess1, share2, share1 = lanes.predict()
         both = share2 + share1
-        ends, rest = lanes.classes(), 65536 - both
+        rest = 65536.0 - both
         unit = span >> _S16
-        point = np.minimum((code - low) // unit, np.uint64(65535)).astype(np.int32)
+        point = np.minimum(code // unit, np.uint64(65535)).astype(np.float64)
         hit2 = point < share2
-        hit1 = ~hit2 & (point < both)
-        missed = ~(hit2 | hit1)
-        target = ((np.maximum(point - both, 0) + 1) * ends[-1] - 1) // rest
-        width = np.minimum((ends[1:] <= target).sum(0), _CLASSES - 1)
-        low_end, high_end = rest * ends[width, lanes.row] // ends[-1], rest * ends[width + 1, lanes.row] // ends[-1]
-        start = np.where(hit2, 0, np.where(hit1, share2, both + low_end))
-        size = np.where(hit2, share2, np.where(hit1, share1, high_end - low_end))
-        low += np.where(live, unit * start.astype(np.uint64), 0).astype(np.uint64)
-        span[:] = np.where(live, unit * size.astype(np.uint64), span)
-        normalise(live)
-        bits = np.maximum(width - 1, 0)
-        now = np.where(hit2, state[2], np.where(hit1, state[3], np.where(width > 0, 1 << bits, 0)))
-        raw = missed & (bits > 0) & live
-        if raw.any():
-            unit = span >> bits.astype(np.uint64)
-            below = np.where(raw, (code - low) // np.maximum(unit, np.uint64(1)), 0).astype(np.uint64)
-            now = now + np.where(raw, below.astype(np.int64), 0)
-            low += np.where(raw, unit * below, 0).astype(np.uint64)
-            span[:] = np.where(raw, unit, span)
-            normalise(raw)
-        now = np.where(live, now, 0)
-        grid[step] = now
-        width = bit_length(now)
-        lanes.learn(now, state, width, missed & live)
-    flat = np.ascontiguousarray(grid.T).reshape(-1)
-    keep = (np.arange(BLOCK)[None, :] < sizes[:, None]).reshape(-1)
-    ids = flat[keep]
-    first = 0
+        missed = point >= both
+        hit1 = ~(hit2 | missed)
+        target = ((np.maximum(point - both, 0.0) + 1.0) * lanes.total - 2.0) / rest
+        under = lanes.ends[1:-1] <= target.astype(np.int16)
+        width = np.add.reduce(under.view(np.int8), axis=0, dtype=np.int8).astype(np.int64)
+        below, size = lanes.interval(width, rest)
+        start = np.where(hit2, 0.0, np.where(hit1, share2, both + below))
+        size = np.where(hit2, share2, np.where(hit1, share1, size))
+        used = unit * start.astype(np.uint64)
+        low += used
+        code -= used
+        np.multiply(unit, size.astype(np.uint64), out=span)
+        normalise(low, span, some, every)
+        bits = _RAW.take(width) * missed
+        span >>= bits.view(np.uint64)
+        lower = np.minimum(code // span, ((1 << bits) - 1).view(np.uint64))
+        used = span * lower
+        low += used
+        code -= used
+        normalise(low, span, some, every)
+        fresh = (((width > 0) << bits) + lower.view(np.int64)).astype(np.int32)
+        now[:] = np.where(hit2, guess2, np.where(hit1, guess1, fresh))
+        lanes.learn(now, width, missed)
+    keep = np.arange(len(grid))[None, :] < sizes[:, None]
+    whole, first = np.ascontiguousarray(grid.T)[keep].astype("<u4", copy=False), 0
     for size, crc in heads:
-        if zlib.crc32(ids[first : first + size].astype("<u4").tobytes()) != crc:
+        if zlib.crc32(whole[first : first + size]) != crc:
             raise ValueError("ids do not match their checksum")
         first += size
-    return ids
+    return whole.astype(np.int64)
 
 
 # ---------------------------------------------------------------- segments
@@ -332,9 +375,10 @@ def write_token_files(
         held = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(runs), "<u4").astype(np.int64)
+            lengths, ids = [len(r) // 4 for r in runs], np.frombuffer(b"".join(runs), "<u4")
+            runs.clear()
             row = {"part": part, "segment": number, "ids": len(ids), "doc_ids": list(doc_ids),
-                   "lengths": [len(r) // 4 for r in runs], "payload": encode_blocks(ids)}
+                   "lengths": lengths, "payload": encode_blocks(ids)}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
@@ -357,8 +401,11 @@ def write_token_files(
         .write.option("compression", "uncompressed").mode("overwrite").parquet(folder))
 
 
-def read_token_files(spark, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, decoded from the files below ``folder``."""
+def read_token_files(spark, folder: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids, ids_crc32) of every document, decoded from the files below ``folder``.
+
+    Without ``with_ids`` the ids are decoded all the same but stay in the task: ``ids`` is left out.
+    """
     segments = spark.read.schema(SEGMENTS).parquet(folder)
     totals = sorted(map(tuple, segments.select("part", "segment", "ids").collect()))  # one small row per segment file part
     starts: dict[tuple[int, int], int] = {}
@@ -370,18 +417,20 @@ def read_token_files(spark, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = decode_blocks(row["payload"]).astype("<u4")
+                ids = decode_blocks(row["payload"]).astype("<u4", copy=False)
                 ends = np.cumsum(row["lengths"])
                 firsts = ends - row["lengths"]
                 raw = [ids[a:b].tobytes() for a, b in zip(firsts.tolist(), ends.tolist(), strict=True)]
                 start = starts[row["part"], row["segment"]] + firsts
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(start, pa.int64()),
-                     pa.array(row["lengths"], pa.int64()), pa.array(raw, pa.binary()),
-                     pa.array([zlib.crc32(r) for r in raw], pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids", "ids_crc32"])
+                own = {"doc_id": pa.array(row["doc_ids"], pa.int64()), "start": pa.array(start, pa.int64()),
+                       "n_tokens": pa.array(row["lengths"], pa.int64())}
+                if with_ids:
+                    own["ids"] = pa.array(raw, pa.binary())
+                own["ids_crc32"] = pa.array([zlib.crc32(r) for r in raw], pa.int64())
+                yield pa.RecordBatch.from_pydict(own)
 
-    return segments.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+    return segments.mapInArrow(
+        run, f"doc_id long, start long, n_tokens long,{' ids binary,' * with_ids} ids_crc32 long")
 
 
 def files_round_trip(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str | None = None,
@@ -390,4 +439,4 @@ def files_round_trip(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     folder = f"{Scratch(spark).folder}/tokens"
     write_token_files(docs, folder, id_col, text, tokenizer, partitions)
-    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_token_files(spark, folder, with_ids=False)

@@ -115,3 +115,29 @@ def test_blocks_are_as_they_were():
     payload = token_files.encode_blocks(ids)
     assert (len(payload), zlib.crc32(payload)) == (3792, 3691889738)
     assert (token_files.decode_blocks(payload) == ids).all()
+
+
+def test_blocks_side_by_side_are_the_blocks_alone():
+    """Lanes share every array, the last one idles on after its end, and few of them go round twice."""
+    rng = np.random.default_rng(11)
+    skewed = np.where(rng.random(40 * 1024 + 77) < 0.02, rng.integers(0, 1 << 17, 40 * 1024 + 77), rng.zipf(1.4, 40 * 1024 + 77) % 3000)
+    alone = [token_files.encode_blocks(skewed[i : i + 1024]) for i in range(0, len(skewed), 1024)]
+    assert token_files.encode_blocks(skewed) == b"".join(alone)
+    assert (token_files.decode_blocks(b"".join(alone)) == skewed).all()
+
+
+def test_a_task_codes_its_blocks_at_once_and_keeps_the_ids(spark, library, tmp_path):
+    """More lanes a call take less time an id; the query needs no ids outside of its tasks."""
+    text = " ".join("abcdefgh"[i % 8] for i in range(280_000))
+    docs = spark.createDataFrame([(i, text) for i in range(8)], "doc_id long, text string")
+    folder = str(tmp_path / "tokens")
+    token_files.write_token_files(docs, folder, partitions=1)
+    segments = spark.read.parquet(folder)
+    ids = np.append(ids_of(library, text), 0).astype("<u4")
+    assert [r.ids for r in segments.select("ids").collect()] == [8 * len(ids)] and 8 * len(ids) > 1 << 21
+    back = token_files.read_token_files(spark, folder, with_ids=False)
+    assert back.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    crc = zlib.crc32(ids.tobytes())
+    assert sorted(map(tuple, back.collect())) == [(i, i * len(ids), len(ids), crc) for i in range(8)]
+    with_ids = token_files.read_token_files(spark, folder).where("doc_id = 7").collect()
+    assert [bytes(r.ids) for r in with_ids] == [ids.tobytes()]
