@@ -120,7 +120,8 @@ def test_blocks_are_as_they_were():
 def test_blocks_side_by_side_are_the_blocks_alone():
     """Lanes share every array, the last one idles on after its end, and few of them go round twice."""
     rng = np.random.default_rng(11)
-    skewed = np.where(rng.random(40 * 1024 + 77) < 0.02, rng.integers(0, 1 << 17, 40 * 1024 + 77), rng.zipf(1.4, 40 * 1024 + 77) % 3000)
+    n = 40 * 1024 + 77
+    skewed = np.where(rng.random(n) < 0.02, rng.integers(0, 1 << 17, n), rng.zipf(1.4, n) % 3000)
     alone = [token_files.encode_blocks(skewed[i : i + 1024]) for i in range(0, len(skewed), 1024)]
     assert token_files.encode_blocks(skewed) == b"".join(alone)
     assert (token_files.decode_blocks(b"".join(alone)) == skewed).all()
@@ -141,3 +142,26 @@ def test_a_task_codes_its_blocks_at_once_and_keeps_the_ids(spark, library, tmp_p
     assert sorted(map(tuple, back.collect())) == [(i, i * len(ids), len(ids), crc) for i in range(8)]
     with_ids = token_files.read_token_files(spark, folder).where("doc_id = 7").collect()
     assert [bytes(r.ids) for r in with_ids] == [ids.tobytes()]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab's tlRé\u00a0\x85\n\t\r\x0b\x0c\x1c\x1f 01!.<|endoftext|>"), max_size=40))
+def test_lone_white_space_needs_no_look_ahead(text):
+    memory = token_files.WordMemory.at(bpe.default_tokenizer())
+    want = memory.coder.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(memory.encode(text), "<u4").tolist() == want
+
+
+def test_plain_texts_take_the_pattern_without_look_ahead(monkeypatch):
+    memory = token_files.WordMemory(bpe.default_tokenizer())
+    text = "It's 12 plain\nlines, façades and all!\n"
+    want = memory.coder.library.encode(text, add_special_tokens=False).ids
+
+    def slower(_):
+        raise AssertionError("the look-ahead was used")
+
+    monkeypatch.setattr(memory.coder, "fast", slower)
+    assert np.frombuffer(memory.encode(text), "<u4").tolist() == want
+    for run in ("  ", "\n\n", " \n", "\n ", "\t", "\r\n"):
+        with pytest.raises(AssertionError):
+            memory.encode("a" + run + "b")
