@@ -207,3 +207,35 @@ def test_profile(table):
     rates = {r.column: (r.null_rows, r.null_rate, r.is_all_null) for r in profile.null_rates(df).collect()}
     assert rates == {"id": (1, 0.25, False), "deleted": (1, 0.25, False), "x": (4, 1.0, True)}
     assert [tuple(r) for r in profile.value_counts(df, "id").collect()] == [("1", 2), (None, 1), ("2", 1)]
+
+
+def test_checks_run_table_by_table_and_keep_only_their_rows(tables):
+    lots = [
+        checks.Check("unique", "child", ("id",)), checks.Check("unique", "parent", ("pk",)),
+        checks.Check("relationships", "child", ("fk",), parent="parent", parent_key="pk"),
+        checks.Check("relationships", "parent", ("pk",), parent="child", parent_key="fk"),
+    ]
+    found = checks.run_checks(tables, lots)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Scan" in plan  # no shuffle of the checks is left
+    assert {(r.check, r.model, r.failures) for r in found.collect()} == {
+        ("unique", "child", 2), ("unique", "parent", 0), ("relationships", "child", 3), ("relationships", "parent", 1)}
+
+
+def test_repeated_combinations_are_told_by_their_places(table, monkeypatch):
+    day = date(2024, 1, 1)
+    rows = [("a", day), ("a", date(2024, 2, 1)), ("a", date(2024, 2, 2)), ("b", day), ("b", None), (None, day), (None, None)]
+    counted = lambda *more: checks.dq_unique_combination(table("k string, d date", *rows, *more), ["k", "d"])
+    assert counted().first()[0] == 0  # two days share a place, no combination repeats
+    assert counted(("b", None), (None, day), (None, day), ("a", day), ("c", day)).first()[0] == 3
+    monkeypatch.setattr(checks, "SLOTS", 64)
+    far = [("z", date(2000 + i, 1, 1)) for i in range(70)]
+    assert counted(*far).first()[0] == 0 and counted(*far, far[3]).first()[0] == 1
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("bigint", (1, 257, -1, None)), ("string", ("x", "", None)), ("double", (0.0, float("nan"), None)), ("timestamp", (None,))])
+def test_repeated_combinations_of_any_type(table, kind, values):
+    rows = [(k, v) for k in ("a", "b", None) for v in values]
+    counted = lambda *more: checks.dq_unique_combination(table(f"k string, v {kind}", *rows, *more), ["k", "v"]).first()[0]
+    assert counted() == 0 and counted(rows[0], rows[0], rows[-1]) == 2
