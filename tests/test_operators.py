@@ -275,3 +275,12 @@ def test_jdbc_scan_refuses_half_a_partitioning(given):
     with pytest.raises(ValueError):
         jdbc_options("jdbc:postgresql://h/d", "t", given)
     assert jdbc_options("jdbc:postgresql://h/d", "t")["dbtable"] == "t"
+
+
+def test_lookup_of_flagged_rows_only(table):
+    fact = table("id string, k string, f boolean", ("1", "a", True), ("2", "a", False), ("3", None, True), ("4", "x", True), ("5", "a", None))
+    dim = table("k string, v int", ("a", 10), ("a", 11), (None, 30))
+    for spread in (None, "id"):
+        out = joins.enrich(fact, dim, ("k", "k"), ["v"], flag="hit", spread=spread, when="f")
+        assert Counter((r["id"], r["v"], r["hit"]) for r in out.collect()) == Counter([
+            ("1", 10, True), ("1", 11, True), ("2", None, False), ("3", None, False), ("4", None, False), ("5", None, False)])

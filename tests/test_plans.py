@@ -106,3 +106,13 @@ def test_physical_names_are_mapped(spark, tmp_path):
     })
     assert got.schema.names == raw_schema("crm_program_skus").names
     assert got.first().master_skus_id == "m"
+
+
+def test_devices_cross_one_shuffle_for_item_and_subscription(spark, raw_root):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Warehouse.over(spark, raw_root, "2024-06-15")["int_devices"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange hashpartitioning\(.*device_id", p)) == 1
